@@ -1,0 +1,6 @@
+"""Streaming: nothing to build.
+
+The modelled pipeline is batch only (full refresh loads, a non-incremental
+extract; no watermark, window, state or late data). This package is kept so
+that the layout is uniform; see README.
+"""
