@@ -266,7 +266,8 @@ def melt_causes(spark, sf_dir) -> DataFrame:
     w = cause_files(spark, sf_dir)
     block = [c for c in w.columns if c.endswith(".2")]
     long = melt(w.select("reason_name", "name", *[F.col(f"`{c}`") for c in block]),
-                ["reason_name", "name"], block, "year_label", "value_per_reason")
+                ["reason_name", "name"], [F.col(f"`{c}`") for c in block], "year_label",
+                "value_per_reason")
     return long.select("reason_name", map_names("name").alias("name"),
                        year_from_label("year_label").alias("year"), "value_per_reason")
 

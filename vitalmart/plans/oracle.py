@@ -241,13 +241,14 @@ def _fk_sql() -> str:
 
 
 def _cause_long() -> str:
-    # the wide cause tables have a cell per (cause, country) x year; missing
-    # cells are NULL after the melt
-    return f"""
-causes_wide AS (PIVOT (SELECT reason_name, name, year, value_per_reason FROM rv)
-                ON year USING max(value_per_reason) GROUP BY reason_name, name),
-causes_long AS (UNPIVOT INCLUDE NULLS causes_wide ON COLUMNS(* EXCLUDE (reason_name, name))
-                INTO NAME year_label VALUE value_per_reason)"""
+    # a pivot by year followed by a melt yields one row per (cause, country)
+    # present and per year present; cells absent from the wide table are NULL
+    return """
+causes_long AS (
+  SELECT p.reason_name, p.name, CAST(y.year AS VARCHAR) AS year_label, rv.value_per_reason
+  FROM (SELECT DISTINCT reason_name, name FROM rv) p
+  CROSS JOIN (SELECT DISTINCT year FROM rv) y
+  LEFT JOIN rv ON rv.reason_name = p.reason_name AND rv.name = p.name AND rv.year = y.year)"""
 
 
 def _yearly_price(where: str = "", year_expr: str = "CAST(year(o_orderdate) AS INTEGER)") -> str:
@@ -413,10 +414,10 @@ SELECT CAST(row_number() OVER (ORDER BY c.country_name, ipc.year) AS BIGINT) AS
 FROM ipc JOIN stg_country c ON ipc.country_id = c.country_id WHERE ipc.indicator_id = 2"""),
     "q_name_map": with_prelude(f"""
 SELECT DISTINCT name AS source_name, {map_names('name')} AS mapped_name FROM rv"""),
-    "q_melt_causes": with_prelude(_cause_long().replace("\ncauses_wide", ", causes_wide", 1) + f"""
+    "q_melt_causes": with_prelude(_cause_long().replace("\ncauses_long", ", causes_long", 1) + f"""
 SELECT reason_name, {map_names('name')} AS name, CAST(CAST(year_label AS DOUBLE) AS INTEGER) AS year,
        value_per_reason FROM causes_long"""),
-    "q_stack_causes": with_prelude(_cause_long().replace("\ncauses_wide", ", causes_wide", 1) + """
+    "q_stack_causes": with_prelude(_cause_long().replace("\ncauses_long", ", causes_long", 1) + """
 SELECT reason_name, name, CAST(year_label AS INTEGER) AS year, value_per_reason
 FROM causes_long WHERE value_per_reason IS NOT NULL"""),
     "q_natural_join": with_prelude(f"""
