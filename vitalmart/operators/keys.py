@@ -7,6 +7,13 @@ partition) count table becomes start offsets, and every row gets
 DataFrame operations: two passes over the data, no global window, and the
 offsets table is bounded by the number of partitions, so broadcasting it is
 safe at any data size.
+
+The range-partitioned rows are checkpointed (reliable checkpoint to the
+shared checkpoint folder) before they are counted: range boundaries come
+from sampling, and two evaluations over a shuffled input could sample
+different boundaries, so counts and rows must come from one materialisation.
+This also cuts the lineage, so a lost executor recomputes from the
+checkpoint, not from the source.
 """
 
 from __future__ import annotations
@@ -30,7 +37,8 @@ def with_position(df: DataFrame, order_by, name: str = "pos", start: int = 1,
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # window over the per-partition counts: at most `n` rows
