@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {
     "q_ws_income_trend": W.ws_income_trend,
     "q_ws_region_gni": W.ws_region_gni,
     "q_ws_region_mortality": W.ws_region_mortality,
+    "q_ws_region_mortality_unfanned": W.ws_region_mortality_unfanned,
     "q_ws_calc_fields": W.ws_calc_fields,
     "q_ws_manual_order": W.ws_manual_order,
     "q_ws_param_filters": W.ws_param_filters,

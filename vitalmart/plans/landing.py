@@ -143,17 +143,35 @@ def shape(spark, sf_dir) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-# Rows [4, 9) by position along the unique key (0-based, like iloc)
+# Rows [start, stop) by position along the unique key (0-based, like
+# iloc). Only the first `stop` rows can be in the slice, so a bounded top-k
+# (per-partition top `stop`, then a merge) finds them without ranking the
+# whole table; larger slices number every row with `with_position`.
+TOP_K_SLICE_LIMIT = 100_000
+
+
+def position_slice(df: DataFrame, order, start: int, stop: int) -> DataFrame:
+    if stop <= TOP_K_SLICE_LIMIT:
+        head_rows = df.orderBy(*order).limit(stop)
+        return (with_position(head_rows, order, "pos", start=0, partitions=1)
+                .where(F.col("pos") >= start))
+    return (with_position(df, order, "pos", start=0)
+            .where((F.col("pos") >= start) & (F.col("pos") < stop)))
+
+
 def row_slice(spark, sf_dir, start: int = 4, stop: int = 9) -> DataFrame:
     p = _t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    return (with_position(p, ["p_partkey"], "pos", start=0)
-            .where((F.col("pos") >= start) & (F.col("pos") < stop)))
+    return position_slice(p, ["p_partkey"], start, stop)
 
 
 # both measures present after an outer join
 def drop_incomplete(spark, sf_dir, year: int = 2001) -> DataFrame:
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    o = (_t(spark, sf_dir, "orders").where(F.year("o_orderdate") == year)
+    # a date range (not year(col) = y) so the predicate reaches the scan
+    lo, hi = f"{year}-01-01 00:00:00", f"{year + 1}-01-01 00:00:00"
+    o = (_t(spark, sf_dir, "orders")
+         .where((F.col("o_orderdate") >= F.lit(lo).cast("timestamp"))
+                & (F.col("o_orderdate") < F.lit(hi).cast("timestamp")))
          .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
                                    mean(F.col("o_totalprice").cast(MONEY)).alias("avg_totalprice")))
     j = c.join(o, c["c_custkey"] == o["o_custkey"], "left").drop("o_custkey")

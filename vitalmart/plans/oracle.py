@@ -321,6 +321,10 @@ FROM v1 WHERE indicator_name = {G} AND region_name IN {REGIONS_SQL} GROUP BY 1,
     "q_ws_region_mortality": with_prelude(f"""
 SELECT date_year, region_name, {mean('indicator_metric')} AS avg_indicator_metric
 FROM v1 WHERE indicator_name = {M} AND region_name IN {REGIONS_SQL} GROUP BY 1, 2"""),
+    "q_ws_region_mortality_unfanned": with_prelude(f"""
+SELECT fm.date_year, dc.region_name, {mean('fm.indicator_metric')} AS avg_indicator_metric
+FROM fact_metrics fm JOIN dim_country dc ON fm.country_key = dc.country_key AND fm.date_year = dc.date_year
+WHERE fm.indicator_name = {M} AND dc.region_name IN {REGIONS_SQL} GROUP BY 1, 2"""),
     "q_ws_calc_fields": with_prelude("""
 SELECT metric_id, death_metric_id, indicator_metric AS metric_value,
        CASE WHEN income_name = 'High income' THEN 'High Income' ELSE income_name END AS income_label,

@@ -173,6 +173,19 @@ def ws_region_mortality(spark, sf_dir, regions=tuple(REGIONS)) -> DataFrame:
     return _region_over_time(spark, sf_dir, MORTALITY, regions)
 
 
+# V1 repeats a mortality row once per reason where reasons exist, so the
+# worksheet mean above is weighted by that fan-out. This variant averages
+# each metric once (facts joined to the country snapshot, no reason join).
+def ws_region_mortality_unfanned(spark, sf_dir, regions=tuple(REGIONS)) -> DataFrame:
+    m = mart(spark, sf_dir)
+    fm = m.table("fact_metrics").where(F.col("indicator_name") == MORTALITY)
+    dc = m.table("dim_country").where(members("region_name", regions))
+    j = fm.join(F.broadcast(dc), ["country_key", "date_year"])
+    return (j.groupBy("date_year", "region_name")
+            .agg(mean("indicator_metric").alias("avg_indicator_metric"))
+            .orderBy(manual_order("region_name", REGION_ORDER), "date_year"))
+
+
 # --- one mechanism each -----------------------------------------------------
 
 # P16 + P17 + C16 + C12..C14: calculated fields on the all-left view
