@@ -40,6 +40,7 @@ INCOME_BAND_TEXTS = [
     ("High income (H)", "> 260,000"),
 ]
 OPEN_UPPER_BOUND = 1000000
+SHEET_HEADER = "Data for calendar year :"   # label cell of the sheet's header row
 BANDS_FROM_YEAR = 1996
 
 # --- country-name dictionary used before joining cause data ------------

@@ -24,6 +24,11 @@ def split_band(text) -> tuple[Column, Column]:
 # '> 6,000' -> (6000, 1000000). Failing text becomes NULL (try_cast), never an error.
 def band_bounds(text) -> tuple[Column, Column]:
     lo_raw, hi_raw = split_band(text)
+    return bounds_from_parts(lo_raw, hi_raw)
+
+
+def bounds_from_parts(lo_raw, hi_raw) -> tuple[Column, Column]:
+    lo_raw, hi_raw = _c(lo_raw), _c(hi_raw)
     lo = F.replace(F.replace(lo_raw, F.lit(">"), F.lit("")), F.lit(","), F.lit(""))
     hi = F.replace(hi_raw, F.lit(","), F.lit(""))
     lower = F.when(F.trim(lo) == "", F.lit(0).cast("bigint")).otherwise(

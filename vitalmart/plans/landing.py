@@ -10,17 +10,19 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalmart.constants import BANDS_FROM_YEAR
+from vitalmart.constants import BANDS_FROM_YEAR, SHEET_HEADER
 from vitalmart.functions.dates import trunc_year, year_part, year_to_date
 from vitalmart.functions.stats import MONEY, mean
 from vitalmart.functions.text import (clean_name, contains_keyword, income_code, key_to_name,
                                       map_names, nan_to_null, year_from_label)
 from vitalmart.operators.joins import fk_violations, natural_join
 from vitalmart.operators.keys import name_ids, with_position
-from vitalmart.operators.reshape import dedupe_headers, melt, stack, strip_suffix
+from vitalmart.operators.reshape import (dedupe_headers, header_from_first_row, melt, stack,
+                                         strip_suffix)
 from vitalmart.plans import staging as st
 from vitalmart.plans.star import mart
-from vitalmart.sources.tables import table
+from vitalmart.sources.tables import read_grid, table
+from vitalmart.sources.writers import write_csv
 
 TPCH = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -186,8 +188,36 @@ def band_texts(spark, sf_dir) -> DataFrame:
     return st.band_texts(years)
 
 
+# The band history as the sheet has it: a headerless grid whose first column
+# is a row number, then the label column, then one column per year.
+def write_income_sheet(spark, sf_dir) -> str:
+    m = mart(spark, sf_dir)
+    path = m.path("landing_income_sheet")
+    if not m.exists("landing_income_sheet"):
+        texts = band_texts(spark, sf_dir).withColumn("code", income_code("income"))
+        # one header per year: the year list is bounded and fixes the columns
+        years = sorted(r[0] for r in texts.select("year").distinct().collect())
+        wide = (texts.groupBy("income", "code").pivot("year", years).agg(F.max("value"))
+                .select((F.pmod(F.col("code") - 2, F.lit(4)) + 1).alias("_row"), "income",
+                        *[F.col(str(y)) for y in years]))
+        header = spark.createDataFrame([tuple([0, SHEET_HEADER] + [str(y) for y in years])],
+                                       wide.columns)
+        write_csv(header.unionByName(wide).coalesce(1), path, header=False)
+    return path
+
+
+# S4 + P12 + P11 + R1 + P2 + F4 + C1..C4 + P3: sheet -> (income, year, bounds)
 def income_bounds(spark, sf_dir) -> DataFrame:
-    return st.income_bounds(band_texts(spark, sf_dir))
+    grid = read_grid(spark, write_income_sheet(spark, sf_dir))
+    grid = grid.withColumn("pos", F.col("_c0").try_cast("int")).drop("_c0")   # column slice
+    grid = grid.where(F.col("pos").between(0, 4))                              # row slice
+    sheet = (header_from_first_row(grid, "pos").drop("pos")
+             .withColumnsRenamed({SHEET_HEADER: "income"}))
+    years = [c for c in sheet.columns if c != "income"]
+    long = melt(sheet, ["income"], years, "year", "value")
+    long = (long.where(F.col("income") != SHEET_HEADER)
+            .withColumn("year", F.col("year").cast("int")))
+    return st.income_bounds(long)
 
 
 def income_codes(spark, sf_dir) -> DataFrame:

@@ -21,7 +21,7 @@ from vitalmart.constants import (AGGREGATE_REGION, BANDS_FROM_YEAR, BLANK_CELL,
                                  INCOME_BAND_TEXTS, INCOME_NAMES, INDICATORS, NAME_MAP,
                                  OMIT_MORTALITY, REASONS_FROM_YEAR)
 from vitalmart.functions.stats import MONEY, cents_mean
-from vitalmart.functions.text import band_bounds, income_code, map_names
+from vitalmart.functions.text import bounds_from_parts, income_code, map_names, split_band
 from vitalmart.operators.joins import range_join
 from vitalmart.operators.keys import first_seen_ids, name_ids, with_position
 from vitalmart.sources.tables import table
@@ -175,8 +175,13 @@ def band_texts(cells_df: DataFrame) -> DataFrame:
 
 
 def income_bounds(texts: DataFrame) -> DataFrame:
-    lo, hi = band_bounds("value")
-    return texts.select("income", "year", lo.alias("lower_bound"), hi.alias("upper_bound"))
+    # the split is its own projection, computed once per row; the bounds are
+    # derived from its two parts (this also keeps generated code valid when
+    # the input comes straight from an unpivot)
+    lo_raw, hi_raw = split_band("value")
+    parts = texts.select("income", "year", lo_raw.alias("lo_raw"), hi_raw.alias("hi_raw"))
+    lo, hi = bounds_from_parts("lo_raw", "hi_raw")
+    return parts.select("income", "year", lo.alias("lower_bound"), hi.alias("upper_bound"))
 
 
 def stg_income_group_year(cells_df: DataFrame) -> DataFrame:
