@@ -25,9 +25,10 @@ def test_with_position_is_dense_and_ordered(spark):
 def test_with_position_is_range_partitioned(spark):
     df = spark.range(100)
     plan = with_position(df, ["id"], "pos")._jdf.queryExecution().executedPlan().toString()
-    # rows come from one checkpointed range partitioning; the per-partition
-    # offsets (one row per partition) are broadcast to them
-    assert "ExistingRDD" in plan and "BroadcastHashJoin" in plan
+    # rows come from one written range partitioning (a parquet table in the
+    # checkpoint folder); the per-partition offsets are broadcast to them
+    assert "Scan parquet" in plan and "BroadcastHashJoin" in plan
+    assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
 
 
 def test_first_seen_ids(spark):

@@ -8,19 +8,24 @@ DataFrame operations: two passes over the data, no global window, and the
 offsets table is bounded by the number of partitions, so broadcasting it is
 safe at any data size.
 
-The range-partitioned rows are checkpointed (reliable checkpoint to the
-shared checkpoint folder) before they are counted: range boundaries come
-from sampling, and two evaluations over a shuffled input could sample
-different boundaries, so counts and rows must come from one materialisation.
-This also cuts the lineage, so a lost executor recomputes from the
-checkpoint, not from the source.
+The range-partitioned rows (with their partition id and row id) are written
+once as a parquet table in the shared checkpoint folder and read back before
+they are counted: range boundaries come from sampling, and two evaluations
+over a shuffled input could sample different boundaries, so counts and rows
+must come from one materialisation. Writing (rather than ``checkpoint()``)
+computes the input once, and it cuts the lineage, so a lost executor
+re-reads the table instead of recomputing from the source.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalmart.session import warehouse_path
+
 
 def _order(cols):
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -34,11 +39,17 @@ def with_position(df: DataFrame, order_by, name: str = "pos", start: int = 1,
     scan order, as the auto-increment it models does).
     """
     order = _order(order_by)
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    # without an explicit count the range shuffle uses spark.sql.shuffle.partitions
+    # and AQE coalesces adjacent (still ordered) partitions at runtime
+    ranged_in = (df.repartitionByRange(partitions, *order) if partitions
+                 else df.repartitionByRange(*order))
+    spark = df.sparkSession
+    path = warehouse_path(spark, "positions", uuid.uuid4().hex)
+    (ranged_in.sortWithinPartitions(*order)
+     .withColumn("_pid", F.spark_partition_id())
+     .withColumn("_mid", F.monotonically_increasing_id())
+     .write.parquet(path))
+    ranged = spark.read.parquet(path)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # window over the per-partition counts: at most `n` rows
