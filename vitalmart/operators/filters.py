@@ -34,4 +34,4 @@ def apply_filters(df: DataFrame, country: str | None = None, income: str | None
 # O2: manual member order; members not listed sort last
 def manual_order(c: str, order) -> Column:
     pos = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(c))
-    return F.when(pos.isNull() | (pos == 0), F.lit(len(order) + 1)).otherwise(pos)
+    return F.when(pos.isNull() | (pos == 0), F.lit(len(order) + 1)).otherwise(pos).cast("int")

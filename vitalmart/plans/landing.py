@@ -169,11 +169,14 @@ def row_slice(spark, sf_dir, start: int = 4, stop: int = 9) -> DataFrame:
 # both measures present after an outer join
 def drop_incomplete(spark, sf_dir, year: int = 2001) -> DataFrame:
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    # a date range (not year(col) = y) so the predicate reaches the scan
+    # a date range (not year(col) = y) so the predicate reaches the scan; the
+    # bounds take the column's own type (timestamp_ntz here: no zone shift)
+    orders = _t(spark, sf_dir, "orders")
+    ts = orders.schema["o_orderdate"].dataType
     lo, hi = f"{year}-01-01 00:00:00", f"{year + 1}-01-01 00:00:00"
-    o = (_t(spark, sf_dir, "orders")
-         .where((F.col("o_orderdate") >= F.lit(lo).cast("timestamp"))
-                & (F.col("o_orderdate") < F.lit(hi).cast("timestamp")))
+    o = (orders
+         .where((F.col("o_orderdate") >= F.lit(lo).cast(ts))
+                & (F.col("o_orderdate") < F.lit(hi).cast(ts)))
          .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
                                    mean(F.col("o_totalprice").cast(MONEY)).alias("avg_totalprice")))
     j = c.join(o, c["c_custkey"] == o["o_custkey"], "left").drop("o_custkey")
