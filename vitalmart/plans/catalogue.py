@@ -53,6 +53,8 @@ QUERIES: dict[str, Query] = {
     "q_fk_violations": L.fk_check,
     "q_stg_indicator": L.stg_indicator,
     "q_stg_reason_values": L.stg_reason_values,
+    "q_stg_country": L.star_table("country"),
+    "q_stg_income_group_year": L.star_table("income_group_year"),
     "q_income_group_country": L.income_group_country,
     "q_income_by_year": L.income_by_year,
     "q_first_seen_ids": L.first_seen,

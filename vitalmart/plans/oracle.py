@@ -398,6 +398,8 @@ GROUP BY dc.region_name"""),
     "q_fk_violations": with_prelude(_fk_sql()),
     "q_stg_indicator": with_prelude("SELECT * FROM ipc"),
     "q_stg_reason_values": with_prelude("SELECT * FROM ipcr"),
+    "q_stg_country": with_prelude("SELECT * FROM stg_country"),
+    "q_stg_income_group_year": with_prelude("SELECT * FROM igy"),
     "q_income_group_country": with_prelude("""
 SELECT igc.country_id, igy.year, igy.income_group_name, igy.lower_bound, igy.upper_bound
 FROM igc JOIN igy ON igc.income_group_year_id = igy.income_group_year_id"""),
