@@ -74,3 +74,11 @@ def test_mean_skips_nulls(spark):
     df = spark.createDataFrame([(Decimal("1.00"),), (None,), (Decimal("2.00"),)], "v decimal(10,2)")
     assert df.agg(mean("v")).first()[0] == 1.5
     assert df.where(F.col("v").isNull()).agg(mean("v")).first()[0] is None
+
+
+def test_date_typed_year_joins_int_year(spark):
+    # A year the BI model parsed into a date joins an int year through year()
+    dates = spark.createDataFrame([(1995,), (1996,)], "y int").select(year_to_date("y").alias("d"))
+    years = spark.createDataFrame([(1995, "a"), (1997, "b")], "date_year int, tag string")
+    j = dates.join(years, year_part("d") == F.col("date_year"))
+    assert [r.tag for r in j.collect()] == ["a"]

@@ -70,3 +70,10 @@ def test_region_rank_plan_broadcasts_dimensions(spark):
     plan = entry.entry(spark)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_no_python_evaluation_in_any_plan(spark):
+    for name, fn in QUERIES.items():
+        plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "PythonUDF" not in plan, name
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name

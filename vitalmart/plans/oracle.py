@@ -92,13 +92,13 @@ nat AS (SELECT n.n_nationkey, n.n_name, n.n_regionkey, r.r_name
         FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
 names AS {name_sides()},
 stg_region AS (SELECT CAST(row_number() OVER (ORDER BY MIN(n_nationkey)) AS INTEGER) AS region_id,
-                      r_name AS region_name FROM nat GROUP BY r_name),
+                      trim(r_name) AS region_name FROM nat GROUP BY r_name),
 stg_country AS (
   SELECT CAST(nat.n_nationkey + 1 AS INTEGER) AS country_id,
          COALESCE(names.indicator_name, nat.n_name) AS country_name,
          lpad(CAST(nat.n_nationkey AS VARCHAR), 2, '0') AS iso2code,
          'N' || lpad(CAST(nat.n_nationkey AS VARCHAR), 2, '0') AS iso3Code, g.region_id
-  FROM nat JOIN stg_region g ON nat.r_name = g.region_name
+  FROM nat JOIN stg_region g ON trim(nat.r_name) = g.region_name
   LEFT JOIN names ON names.k = nat.n_nationkey),
 income_group AS {values(INCOME_NAMES, ["income_group_id", "income_name"])},
 indicator AS {values([(i, n, c) for i, n, c in INDICATORS], ["indicator_id", "indicator_name", "world_bank_ind_id"])},

@@ -71,10 +71,11 @@ def cause_side_name(key, fallback):
 
 
 # Region ids by first appearance in the country list (the aggregate
-# pseudo-region keeps its id, it is dropped from countries only).
+# pseudo-region keeps its id, it is dropped from countries only). Names are
+# trimmed here, once, so that later equality filters need no padding rules.
 def stg_region(nat: DataFrame) -> DataFrame:
     return (first_seen_ids(nat, "r_name", "n_nationkey", "region_id")
-            .select(F.col("region_id").cast("int"), F.col("r_name").alias("region_name")))
+            .select(F.col("region_id").cast("int"), F.trim("r_name").alias("region_name")))
 
 
 # S5 + J1 + P5: countries with region ids; ``drop_region`` mirrors the
@@ -83,7 +84,7 @@ def stg_country(nat: DataFrame, region: DataFrame, drop_region: str | None = Non
     c = nat
     if drop_region is not None:
         c = c.where(~F.col("r_name").eqNullSafe(drop_region))
-    c = c.join(F.broadcast(region), c["r_name"] == region["region_name"], "inner")
+    c = c.join(F.broadcast(region), F.trim(c["r_name"]) == region["region_name"], "inner")
     k = F.col("n_nationkey")
     return c.select(
         (k + 1).cast("int").alias("country_id"),
