@@ -98,8 +98,14 @@ def stg_income_group(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(INCOME_NAMES, "income_group_id int, income_name string")
 
 
+INDICATOR_NOTES = {
+    1: "exact mean of l_quantity per nation and order year",
+    2: "exact mean of o_totalprice per nation and order year",
+}
+
+
 def stg_indicator(spark: SparkSession) -> DataFrame:
-    rows = [(i, name, code, "World Bank", None) for i, name, code in INDICATORS]
+    rows = [(i, name, code, None, INDICATOR_NOTES[i]) for i, name, code in INDICATORS]
     return spark.createDataFrame(
         rows, "indicator_id int, indicator_name string, world_bank_ind_id string, "
               "source_organization string, source_note string")
