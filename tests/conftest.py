@@ -23,6 +23,10 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vitalmart-test-"))
+    # tests always build their own mart
+    from vitalmart.session import RUN_NAMESPACE_CONF
+    import uuid
+    s.conf.set(RUN_NAMESPACE_CONF, f"test-{uuid.uuid4().hex[:12]}")
     yield s
     s.stop()
 

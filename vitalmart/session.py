@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import getpass
 import os
 import tempfile
 import threading
@@ -41,27 +42,45 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 _lock = threading.Lock()
 
 
+def _local_default() -> str:
+    """Fallback folder for local runs whose session names no checkpoint dir."""
+    d = os.path.join(tempfile.gettempdir(), f"vitalmart-{getpass.getuser()}")
+    os.makedirs(d, exist_ok=True)
+    return d
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
-    Uses ``spark.checkpoint.dir`` (or an already set checkpoint dir) as the
-    cluster names it; only when nothing is set (local runs, tests) a fresh
-    folder is made and registered.
+    Uses ``spark.checkpoint.dir`` as the cluster names it, else the folder
+    given to ``setCheckpointDir`` (Spark adds a per-application subfolder;
+    its parent is the shared one). Only when nothing is set (local runs) a
+    folder under the system temp dir is registered.
     """
     with _lock:
         sc = spark.sparkContext
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-        if not d:
-            d = tempfile.mkdtemp(prefix="vitalmart-ckpt-")
-            sc.setCheckpointDir(d)
-        elif not sc.getCheckpointDir():
-            sc.setCheckpointDir(d)
-        return sc.getCheckpointDir() or d
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        current = sc.getCheckpointDir()
+        if conf:
+            if not current:
+                sc.setCheckpointDir(conf)
+            return conf.rstrip("/")
+        if current:
+            return current.rstrip("/").rsplit("/", 1)[0]
+        d = _local_default()
+        sc.setCheckpointDir(d)
+        return d
+
+
+RUN_NAMESPACE_CONF = "spark.vitalmart.namespace"
 
 
 def warehouse_path(spark: SparkSession, *parts: str) -> str:
+    """<shared folder>/vitalmart[/<namespace>]/<parts>; a namespace (session
+    conf) keeps e.g. a benchmark's tables apart from reusable ones."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, "vitalmart", *parts])
+    ns = spark.conf.get(RUN_NAMESPACE_CONF, "") or ""
+    return "/".join([base, "vitalmart", *([ns] if ns else []), *parts])
 
 
 def local_path(path: str) -> str:
