@@ -64,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "q_name_map": L.name_map,
     "q_melt_causes": L.melt_causes,
     "q_stack_causes": L.stack_causes,
+    "q_cause_file_union": L.cause_file_union,
     "q_natural_join": L.natural_join_q,
     "q_union_missing": L.union_missing,
     # landing operators over the raw tables

@@ -334,6 +334,35 @@ def stack_causes(spark, sf_dir) -> DataFrame:
                        "value_per_reason")
 
 
+# S12 + S2 + U3 + W4 + R1: the cause tables land as CSV, one folder per
+# cause; all of them come back in ONE scan (the cause name is the folder's
+# partition value, the file path is kept from the scan's metadata), cause ids
+# follow the listing (name) order, and the '.2' block is melted. No per-file
+# loop: the union of the files is the scan itself.
+def write_cause_files(spark, sf_dir) -> str:
+    m = mart(spark, sf_dir)
+    path = m.path("landing_cause_files")
+    if not m.exists("landing_cause_files"):
+        w = cause_files(spark, sf_dir)
+        w.write.mode("overwrite").partitionBy("reason_name").option("header", True).csv(path)
+    return path
+
+
+def cause_file_union(spark, sf_dir) -> DataFrame:
+    path = write_cause_files(spark, sf_dir)
+    files = (spark.read.option("header", True).csv(path)
+             .withColumn("file_path", F.col("_metadata.file_path")))
+    block = [c for c in files.columns if c.endswith(".2")]
+    long = melt(files.select("reason_name", "name", *[F.col(f"`{c}`") for c in block]),
+                ["reason_name", "name"], [F.col(f"`{c}`") for c in block], "year_label",
+                "value_text")
+    ids = name_ids(files.select("reason_name"), "reason_name", "reason_id")
+    return long.join(F.broadcast(ids), "reason_name").select(
+        F.col("reason_id").cast("int"), "reason_name", map_names("name").alias("name"),
+        year_from_label("year_label").alias("year"),
+        F.col("value_text").try_cast("decimal(10,2)").alias("value_per_reason"))
+
+
 # Natural join on every common column (here: name, year), NULL-safe
 def natural_join_q(spark, sf_dir) -> DataFrame:
     rv = _reason_values(spark, sf_dir).withColumn("name", map_names("name"))

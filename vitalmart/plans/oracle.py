@@ -426,6 +426,10 @@ SELECT reason_name, {map_names('name')} AS name, CAST(CAST(year_label AS DOUBLE)
     "q_stack_causes": with_prelude(_cause_long().replace("\ncauses_long", ", causes_long", 1) + """
 SELECT reason_name, name, CAST(year_label AS INTEGER) AS year, value_per_reason
 FROM causes_long WHERE value_per_reason IS NOT NULL"""),
+    "q_cause_file_union": with_prelude(_cause_long().replace("\ncauses_long", ", causes_long", 1) + f"""
+SELECT CAST(d.death_reason_id AS INTEGER) AS reason_id, l.reason_name, {map_names('l.name')} AS name,
+       CAST(CAST(l.year_label AS DOUBLE) AS INTEGER) AS year, l.value_per_reason
+FROM causes_long l JOIN death_reason d ON l.reason_name = d.reason_name"""),
     "q_natural_join": with_prelude(f"""
 SELECT rv.name, rv.year, rv.reason_name, rv.value_per_reason, u5.value AS under5_value
 FROM (SELECT {map_names('name')} AS name, year, reason_name, value_per_reason FROM rv) rv
