@@ -33,21 +33,19 @@ def bounds_from_parts(lo_raw, hi_raw) -> tuple[Column, Column]:
     hi = F.replace(hi_raw, F.lit(","), F.lit(""))
     lower = F.when(F.trim(lo) == "", F.lit(0).cast("bigint")).otherwise(
         F.trim(lo).try_cast("bigint"))
-    upper = F.coalesce(F.trim(hi).try_cast("bigint"), F.lit(OPEN_UPPER_BOUND).cast("bigint"))
-    # an upper part that is present but not a number stays NULL
-    upper = F.when(hi.isNotNull() & F.trim(hi).try_cast("bigint").isNull(), F.lit(None)
-                   ).otherwise(upper)
+    # no upper part: the open top band; an upper part that is not a number: NULL
+    upper = F.when(hi.isNull(), F.lit(OPEN_UPPER_BOUND).cast("bigint")).otherwise(
+        F.trim(hi).try_cast("bigint"))
     return lower, upper
 
 
 # Income label -> code, 0 for anything else (looked up by label)
 def income_code(label) -> Column:
-    out = F.lit(0)
-    expr = None
-    for text, code in INCOME_CODES:
-        expr = (F.when(_c(label) == text, F.lit(code)) if expr is None
-                else expr.when(_c(label) == text, F.lit(code)))
-    return expr.otherwise(out) if expr is not None else out
+    (first_text, first_code), *rest = INCOME_CODES
+    expr = F.when(_c(label) == first_text, F.lit(first_code))
+    for text, code in rest:
+        expr = expr.when(_c(label) == text, F.lit(code))
+    return expr.otherwise(F.lit(0))
 
 
 # C5 + C17: whole-value replacement by the fixed dictionary. A map literal
