@@ -51,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "q_fact_metrics": L.star_table("fact_metrics"),
     "q_fact_reasons": L.star_table("fact_metric_death_reasons"),
     "q_fk_violations": L.fk_check,
+    "q_quality_checks": L.quality_checks,
     "q_stg_indicator": L.stg_indicator,
     "q_stg_reason_values": L.stg_reason_values,
     "q_stg_country": L.star_table("country"),

@@ -402,6 +402,21 @@ FOREIGN_KEYS = [
 ]
 
 
+# Known gaps of the loads, counted rather than hidden
+def quality_checks(spark, sf_dir) -> DataFrame:
+    m = mart(spark, sf_dir)
+    checks = [
+        ("dim_date.date_tens is null", m.table("dim_date").where(F.col("date_tens").isNull())),
+        ("fact_metrics.country_key is null",
+         m.table("fact_metrics").where(F.col("country_key").isNull())),
+        ("dim_country.date_year is null",
+         m.table("dim_country").where(F.col("date_year").isNull())),
+    ]
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("check_name"), "n_rows")
+        for name, df in checks])
+
+
 # Violations per foreign key (0 expected)
 def fk_check(spark, sf_dir) -> DataFrame:
     m = mart(spark, sf_dir)

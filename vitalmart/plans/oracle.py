@@ -396,6 +396,12 @@ GROUP BY dc.region_name"""),
     "q_fact_metrics": with_prelude("SELECT * FROM fact_metrics"),
     "q_fact_reasons": with_prelude("SELECT * FROM fact_reasons"),
     "q_fk_violations": with_prelude(_fk_sql()),
+    "q_quality_checks": with_prelude("""
+SELECT 'dim_date.date_tens is null' AS check_name, COUNT(*) AS n_rows FROM dim_date WHERE date_tens IS NULL
+UNION ALL
+SELECT 'fact_metrics.country_key is null', COUNT(*) FROM fact_metrics WHERE country_key IS NULL
+UNION ALL
+SELECT 'dim_country.date_year is null', COUNT(*) FROM dim_country WHERE date_year IS NULL"""),
     "q_stg_indicator": with_prelude("SELECT * FROM ipc"),
     "q_stg_reason_values": with_prelude("SELECT * FROM ipcr"),
     "q_stg_country": with_prelude("SELECT * FROM stg_country"),
