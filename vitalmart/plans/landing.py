@@ -34,7 +34,8 @@ def _t(spark, sf_dir, name):
 # --- sources, countries, series ------------------------------------------
 
 def country_dim_src(spark, sf_dir) -> DataFrame:
-    return st.country_source(spark, sf_dir)
+    m = mart(spark, sf_dir)
+    return st.stg_country(st.nations(spark, sf_dir), m.table("region"), st.AGGREGATE_REGION)
 
 
 def first_seen(spark, sf_dir) -> DataFrame:
@@ -311,27 +312,38 @@ def cause_files(spark, sf_dir) -> DataFrame:
                        *[F.col(s).alias(h) for s, h in zip(src, headers)])
 
 
+def landed_cause_files(spark, sf_dir) -> DataFrame:
+    """All landed cause files in one scan (cause name = folder partition value)."""
+    return spark.read.option("header", True).csv(write_cause_files(spark, sf_dir))
+
+
+def _block(files: DataFrame) -> list:
+    # Of the three blocks per year keep the '.2' one (ages 0-4)
+    return [c for c in files.columns if c.endswith(".2")]
+
+
 # P13 + R1 + P9: keep the '.2' block, melt (NULL kept), year from the label,
 # names through the dictionary
 def melt_causes(spark, sf_dir) -> DataFrame:
-    w = cause_files(spark, sf_dir)
-    block = [c for c in w.columns if c.endswith(".2")]
+    w = landed_cause_files(spark, sf_dir)
+    block = _block(w)
     long = melt(w.select("reason_name", "name", *[F.col(f"`{c}`") for c in block]),
                 ["reason_name", "name"], [F.col(f"`{c}`") for c in block], "year_label",
-                "value_per_reason")
+                "value_text")
     return long.select("reason_name", map_names("name").alias("name"),
-                       year_from_label("year_label").alias("year"), "value_per_reason")
+                       year_from_label("year_label").alias("year"),
+                       F.col("value_text").try_cast("decimal(10,2)").alias("value_per_reason"))
 
 
 # P14 + R2 + R3: strip the block suffix, stack (NULL dropped)
 def stack_causes(spark, sf_dir) -> DataFrame:
-    w = cause_files(spark, sf_dir)
-    block = [c for c in w.columns if c.endswith(".2")]
+    w = landed_cause_files(spark, sf_dir)
+    block = _block(w)
     w = strip_suffix(w.select("reason_name", "name", *[F.col(f"`{c}`") for c in block]), ".2")
     years = [c[:-2] for c in block]
-    long = stack(w, ["reason_name", "name"], years, "year_label", "value_per_reason")
+    long = stack(w, ["reason_name", "name"], years, "year_label", "value_text")
     return long.select("reason_name", "name", F.col("year_label").cast("int").alias("year"),
-                       "value_per_reason")
+                       F.col("value_text").try_cast("decimal(10,2)").alias("value_per_reason"))
 
 
 # S12 + S2 + U3 + W4 + R1: the cause tables land as CSV, one folder per
@@ -349,10 +361,9 @@ def write_cause_files(spark, sf_dir) -> str:
 
 
 def cause_file_union(spark, sf_dir) -> DataFrame:
-    path = write_cause_files(spark, sf_dir)
-    files = (spark.read.option("header", True).csv(path)
-             .withColumn("file_path", F.col("_metadata.file_path")))
-    block = [c for c in files.columns if c.endswith(".2")]
+    files = landed_cause_files(spark, sf_dir).withColumn(
+        "file_path", F.col("_metadata.file_path"))
+    block = _block(files)
     long = melt(files.select("reason_name", "name", *[F.col(f"`{c}`") for c in block]),
                 ["reason_name", "name"], [F.col(f"`{c}`") for c in block], "year_label",
                 "value_text")
