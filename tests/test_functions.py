@@ -82,3 +82,13 @@ def test_date_typed_year_joins_int_year(spark):
     years = spark.createDataFrame([(1995, "a"), (1997, "b")], "date_year int, tag string")
     j = dates.join(years, year_part("d") == F.col("date_year"))
     assert [r.tag for r in j.collect()] == ["a"]
+
+
+def test_cents_mean_exact_beyond_double_precision(spark):
+    from decimal import ROUND_HALF_UP
+    # 2 * cents + n is above 2^53 here: a DOUBLE quotient would not be exact
+    rows = [(Decimal("90071992547409.93"), 1000003), (Decimal("45035996273704.97"), 999999),
+            (Decimal("99999999999999.99"), 1000001)]
+    df = spark.createDataFrame(rows, "s decimal(22,2), n bigint")
+    got = [r[0] for r in df.select(cents_mean("s", "n")).collect()]
+    assert got == [(s / n).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP) for s, n in rows]

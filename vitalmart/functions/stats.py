@@ -30,14 +30,14 @@ def mean(c) -> Column:
     return F.try_divide(F.sum(_c(c)).cast("double"), F.count(_c(c)))
 
 
-def int_div(a: Column, b: Column) -> Column:
-    """Integral division for non-negative BIGINT operands, exact below 2^53."""
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
-
-
-def cents_mean(sum_dec, n) -> Column:
-    """Round-half-up of sum/n to two decimals, exactly, as DECIMAL(10,2)."""
-    cents = (_c(sum_dec) * 100).cast("bigint")
-    n = _c(n).cast("bigint")
-    q = F.when(n > 0, int_div(cents * 2 + n, n * 2))
-    return (q.cast("decimal(18,0)") * F.expr("CAST(0.01 AS DECIMAL(3,2))")).cast(METRIC)
+def cents_mean(sum_col: str, n_col: str) -> Column:
+    """Round-half-up of sum/n to two decimals, exactly, as DECIMAL(10,2).
+
+    Integer arithmetic on cents with SQL's integral ``div`` (exact on BIGINT
+    over its whole range, unlike a DOUBLE quotient above 2^53); NULL when
+    n is 0 or NULL. Takes column names.
+    """
+    cents = f"CAST({sum_col} * 100 AS BIGINT)"
+    n = f"CAST({n_col} AS BIGINT)"
+    return F.expr(f"CASE WHEN {n} > 0 THEN CAST(CAST(({cents} * 2 + {n}) div ({n} * 2) "
+                  f"AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) END")
