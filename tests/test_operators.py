@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vitalmart.operators.filters import apply_filters, manual_order, member_range, members

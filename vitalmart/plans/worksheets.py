@@ -38,7 +38,7 @@ def v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart(spark, sf_dir).v2()
 
 
-def _rank_desc(measure: str, tie: str) -> F.Column:
+def _rank_desc(measure: str) -> F.Column:
     # the ranked input is one row per group member (bounded by the dimension)
     return F.rank().over(Window.orderBy(F.col(measure).desc_nulls_last())).alias("rank")
 
@@ -67,14 +67,14 @@ def ws_trend(spark, sf_dir, indicator: str = MORTALITY, **shared) -> DataFrame:
 def ws_reason_rank(spark, sf_dir, **shared) -> DataFrame:
     df = apply_filters(v2(spark, sf_dir), **shared)
     g = df.groupBy("reason_desc").agg(mean("death_reason_metric").alias("avg_death_reason_metric"))
-    return g.select("*", _rank_desc("avg_death_reason_metric", "reason_desc")).orderBy(
+    return g.select("*", _rank_desc("avg_death_reason_metric")).orderBy(
         "rank", "reason_desc")
 
 
 def ws_region_rank(spark, sf_dir, indicator: str = MORTALITY, **shared) -> DataFrame:
     df = apply_filters(v2(spark, sf_dir), indicator=indicator, **shared)
     g = df.groupBy("region_name").agg(mean("indicator_metric").alias("avg_indicator_metric"))
-    return g.select("*", _rank_desc("avg_indicator_metric", "region_name")).orderBy(
+    return g.select("*", _rank_desc("avg_indicator_metric")).orderBy(
         "rank", "region_name")
 
 
