@@ -206,7 +206,8 @@ def write_income_sheet(spark, sf_dir) -> str:
                         *[F.col(str(y)) for y in years]))
         header = spark.createDataFrame([tuple([0, SHEET_HEADER] + [str(y) for y in years])],
                                        wide.columns)
-        write_csv(header.unionByName(wide).coalesce(1), path, header=False)
+        sheet = header.unionByName(wide).coalesce(1)
+        m.publish("landing_income_sheet", lambda p: write_csv(sheet, p, header=False))
     return path
 
 
@@ -356,7 +357,8 @@ def write_cause_files(spark, sf_dir) -> str:
     path = m.path("landing_cause_files")
     if not m.exists("landing_cause_files"):
         w = cause_files(spark, sf_dir)
-        w.write.mode("overwrite").partitionBy("reason_name").option("header", True).csv(path)
+        m.publish("landing_cause_files",
+                  lambda p: w.write.partitionBy("reason_name").option("header", True).csv(p))
     return path
 
 
