@@ -14,7 +14,9 @@ they are counted: range boundaries come from sampling, and two evaluations
 over a shuffled input could sample different boundaries, so counts and rows
 must come from one materialisation. Writing (rather than ``checkpoint()``)
 computes the input once, and it cuts the lineage, so a lost executor
-re-reads the table instead of recomputing from the source.
+re-reads the table instead of recomputing from the source. The write runs
+when ``with_position`` is called; the returned DataFrame reads the finished
+table. Like checkpoint files, these tables stay in the checkpoint folder.
 """
 
 from __future__ import annotations
