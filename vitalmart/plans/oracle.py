@@ -211,7 +211,8 @@ M, G = q(MORTALITY), q(GNI)
 INCOMES_SQL = "('High income', 'Upper middle income', 'Lower middle income', 'Low income')"
 REGIONS_SQL = "('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')"
 REASON_RANGE_SQL = "lower(reason_desc) BETWEEN '2-high' AND '4-not specified'"
-INCOME_RANGE_SQL = "lower(income_name) BETWEEN 'high income' AND 'upper middle income'"
+INCOME_RANGE_SQL = ("(lower(income_name) BETWEEN 'high income' AND 'lower middle income' "
+                    "OR income_name IN ('Upper middle income'))")
 LINK_PATTERN_SQL = r"""'<li[^>]*>\s*<a\s[^>]*href="([^"]*)"'"""
 
 TPCH_COLS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6,

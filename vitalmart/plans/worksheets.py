@@ -25,7 +25,9 @@ REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 REGION_ORDER = ["ASIA", "AFRICA", "MIDDLE EAST", "AMERICA", "EUROPE"]
 DECADES = ["1990s", "2000s"]
 REASON_RANGE = ("2-high", "4-not specified")
-INCOME_RANGE = ("high income", "upper middle income")
+# income sheet: a range of members united with one more member
+INCOME_RANGE = ("High Income", "Lower middle income")
+INCOME_EXTRA_MEMBER = "Upper middle income"
 CI_REGION = "ASIA"
 MAP_YEAR = 2000
 
@@ -45,7 +47,8 @@ def _rank_desc(measure: str) -> F.Column:
 
 def ws_income(spark, sf_dir, **shared) -> DataFrame:
     df = apply_filters(v2(spark, sf_dir), **shared)
-    df = df.where(member_range("income_name", *INCOME_RANGE))
+    df = df.where(member_range("income_name", *INCOME_RANGE)
+                  | members("income_name", [INCOME_EXTRA_MEMBER]))
     return (df.groupBy("income_name")
             .agg(mean("death_reason_metric").alias("avg_death_reason_metric"))
             .orderBy(F.col("avg_death_reason_metric").desc(), "income_name"))
