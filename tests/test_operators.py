@@ -108,3 +108,18 @@ def test_filters(spark):
     sel = spark.createDataFrame([("A", 2000), ("B", 2001)], "country_name string, date_year int")
     assert apply_filters(sel).count() == 2
     assert apply_filters(sel, country="A", year=2000).count() == 1
+
+
+def test_range_join_by_buckets_matches_broadcast(spark):
+    rnd = random.Random(3)
+    vals = spark.createDataFrame([(2000 + i % 3, float(rnd.randrange(0, 20000)) + 0.5) for i in range(400)],
+                                 "year int, v double")
+    edges = [0, 480, 481, 2500, 2501, 6000, 6001, 1000000]
+    bands = spark.createDataFrame([(y, edges[k], edges[k + 1], f"b{k}") for y in (2000, 2001, 2002)
+                                   for k in range(0, len(edges) - 1, 2)] + [(2001, 100, 7000, "wide")],
+                                  "year int, lo bigint, hi bigint, name string")
+    a = range_join(vals, bands, "year", "v", "lo", "hi").select(vals["year"], "v", "name")
+    b = range_join(vals, bands, "year", "v", "lo", "hi", broadcast_bands=False,
+                   bucket_width=1000).select(vals["year"], "v", "name")
+    ra, rb = sorted(map(tuple, a.collect())), sorted(map(tuple, b.collect()))
+    assert ra == rb and len(ra) > 400

@@ -19,14 +19,29 @@ def natural_join(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
 
 
 # Value into [lower, upper] of the bands of the same year. The year
-# equality keeps it a hash join (range test as residual); the band table
-# is small by construction (bands x years) and is broadcast.
+# equality keeps it a hash join with the range test as a residual. Bands are
+# small by construction (bands x years) and are broadcast. When the band
+# table is not broadcastable, joining on the year alone would send all values
+# of a year to one task, so both sides get a value bucket: each band is
+# repeated for the buckets it covers and the join is on (year, bucket), with
+# the range still checked as a residual (a value meets every covering band
+# exactly once, in its own bucket).
 def range_join(values: DataFrame, bands: DataFrame, year: str, value: str,
                lower: str, upper: str, how: str = "inner",
-               broadcast_bands: bool = True) -> DataFrame:
-    b = F.broadcast(bands) if broadcast_bands else bands
-    cond = (values[year] == b[year]) & values[value].between(b[lower], b[upper])
-    return values.join(b, cond, how)
+               broadcast_bands: bool = True, bucket_width: float | None = None) -> DataFrame:
+    if broadcast_bands:
+        b = F.broadcast(bands)
+        cond = (values[year] == b[year]) & values[value].between(b[lower], b[upper])
+        return values.join(b, cond, how)
+    if not bucket_width:
+        raise ValueError("a bucket width is needed when the bands are not broadcast")
+    w = F.lit(float(bucket_width))
+    v = values.withColumn("_bucket", F.floor(F.col(value) / w))
+    b = bands.withColumn("_bucket", F.explode(F.sequence(
+        F.floor(F.col(lower) / w), F.floor(F.col(upper) / w))))
+    cond = ((v[year] == b[year]) & (v["_bucket"] == b["_bucket"])
+            & v[value].between(b[lower], b[upper]))
+    return v.join(b, cond, how).drop(v["_bucket"]).drop(b["_bucket"])
 
 
 # Rows whose foreign key has no parent (NULL keys are not violations)
