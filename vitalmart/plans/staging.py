@@ -133,24 +133,28 @@ def nation_years(cells_df: DataFrame) -> DataFrame:
                  F.sum("sum_price").alias("sum_price"), F.sum("n_orders").alias("n_orders")))
 
 
-# S7 + F3 + P4 + U4: the two indicator series, one table, ids 1 and 2
-def series(cells_df: DataFrame) -> DataFrame:
+# S7 + F3 + P4 + U4: the two indicator series (by country name, as the
+# series source names countries), one table, ids 1 and 2
+def series(cells_df: DataFrame, nat: DataFrame) -> DataFrame:
     ny = nation_years(cells_df)
+    ny = ny.join(F.broadcast(nat.select("n_nationkey", "n_name")),
+                 ny["nationkey"] == F.col("n_nationkey"))
+    name = indicator_side_name(F.col("nationkey"), F.col("n_name")).alias("name")
     omit = (F.col("nationkey") == OMIT_MORTALITY[0]) & (F.col("year") == OMIT_MORTALITY[1])
-    ind1 = ny.where(~omit).select(
-        (F.col("nationkey") + 1).cast("int").alias("country_id"), "year",
-        F.lit(1).alias("indicator_id"),
-        cents_mean("sum_qty", "n_lines").alias("value"))
-    ind2 = ny.select(
-        (F.col("nationkey") + 1).cast("int").alias("country_id"), "year",
-        F.lit(2).alias("indicator_id"),
-        cents_mean("sum_price", "n_orders").alias("value"))
+    ind1 = ny.where(~omit).select(name, "year", F.lit(1).alias("indicator_id"),
+                                  cents_mean("sum_qty", "n_lines").alias("value"))
+    ind2 = ny.select(name, "year", F.lit(2).alias("indicator_id"),
+                     cents_mean("sum_price", "n_orders").alias("value"))
     return ind1.unionByName(ind2).where(F.col("value").isNotNull())
 
 
-def stg_indicator_per_country(cells_df: DataFrame) -> DataFrame:
-    s = with_position(series(cells_df), ["indicator_id", "country_id", "year"],
-                      "indicator_per_country_id")
+# J2 + W3: series x countries by name (inner), then one row id per value,
+# under-5 rows first (the id the cause rows refer to)
+def stg_indicator_per_country(cells_df: DataFrame, nat: DataFrame, country: DataFrame) -> DataFrame:
+    s = series(cells_df, nat).join(
+        F.broadcast(country.select("country_id", F.col("country_name").alias("name"))),
+        "name", "inner")
+    s = with_position(s, ["indicator_id", "country_id", "year"], "indicator_per_country_id")
     return s.select(F.col("indicator_per_country_id").cast("int"), "value",
                     F.col("year").cast("int"), F.col("indicator_id").cast("int"), "country_id")
 
