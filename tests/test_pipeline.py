@@ -66,10 +66,20 @@ def test_cause_path_equals_staging(spark):
     assert sorted(map(tuple, melted.collect()), key=repr) == sorted(map(tuple, ipcr.collect()), key=repr)
 
 
-def test_region_rank_plan_broadcasts_dimensions(spark):
-    plan = entry.entry(spark)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+def test_views_broadcast_dimensions(spark):
+    from vitalmart.plans.star import view_v1, view_v2
+    m = mart(spark, SF001)
+    t = m.table
+    for view in (view_v1, view_v2):
+        df = view(t("fact_metrics"), t("fact_metric_death_reasons"), t("dim_country"),
+                  t("dim_reason"), t("dim_date"))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # V2's right join is made inner by the inner joins that follow it
+    plan = view_v2(t("fact_metrics"), t("fact_metric_death_reasons"), t("dim_country"),
+                   t("dim_reason"), t("dim_date"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RightOuter" not in plan
 
 
 def test_no_python_evaluation_in_any_plan(spark):
