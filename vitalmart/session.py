@@ -67,6 +67,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             return conf.rstrip("/")
         if current:
             return current.rstrip("/").rsplit("/", 1)[0]
+        if not sc.master.startswith("local"):
+            # executors on other machines cannot share a driver-local folder
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object "
+                               "store, ...) for vitalmart's written tables on a cluster")
         d = _local_default()
         sc.setCheckpointDir(d)
         return d
