@@ -54,8 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Uses ``spark.checkpoint.dir`` as the cluster names it, else the folder
     given to ``setCheckpointDir`` (Spark adds a per-application subfolder;
-    its parent is the shared one). Only when nothing is set (local runs) a
-    folder under the system temp dir is registered.
+    its parent is the shared one). Only when nothing is set on a local master
+    a folder under the system temp dir is registered; on a cluster that is an
+    error, never a machine-local folder.
     """
     with _lock:
         sc = spark.sparkContext
