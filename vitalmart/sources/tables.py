@@ -49,6 +49,10 @@ def read_grid(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", False).csv(path)
 
 
-# S9: ';'-separated, double-quoted export with a header
+# S9: ';'-separated, double-quoted export with a header (quotes doubled inside)
 def read_export(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    return read_csv(spark, path, schema=schema, header=True, sep=";", quote='"')
+    r = (spark.read.option("header", True).option("sep", ";").option("quote", '"')
+         .option("escape", '"'))
+    if schema is not None:
+        r = r.schema(schema)
+    return r.csv(path)

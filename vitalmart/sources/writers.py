@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 
 # A frame as CSV (no index column is written: positions, where they
@@ -27,3 +28,17 @@ def create_empty(spark: SparkSession, schema: StructType, path: str) -> DataFram
     df = spark.createDataFrame([], schema)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+# S9's counterpart: ';'-separated export with a header, string fields in
+# double quotes (embedded quotes doubled), numbers bare; one file per table
+def write_export(df: DataFrame, path: str) -> None:
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, StringType):
+            c = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+        cols.append(c.cast("string").alias(f.name))
+    (df.select(*cols).coalesce(1).write.mode("overwrite")
+     .option("header", True).option("sep", ";").option("quote", "")
+     .option("nullValue", "").csv(path))
