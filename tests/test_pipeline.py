@@ -87,3 +87,19 @@ def test_no_python_evaluation_in_any_plan(spark):
         plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_date_range_reaches_the_scan(spark):
+    plan = QUERIES["q_drop_incomplete"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+
+
+def test_row_slice_is_a_bounded_top_k(spark):
+    from vitalmart.plans.landing import position_slice
+    from vitalmart.sources.tables import table
+    p = table(spark, SF001, "part").select("p_partkey", "p_name")
+    plan = p.orderBy("p_partkey").limit(9)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    got = [r.p_partkey for r in position_slice(p, ["p_partkey"], 4, 9).orderBy("pos").collect()]
+    want = [r.p_partkey for r in p.orderBy("p_partkey").collect()][4:9]
+    assert got == want
