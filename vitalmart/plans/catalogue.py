@@ -89,3 +89,17 @@ QUERIES: dict[str, Query] = {
     "q_key_prefix": L.key_prefix,
     "q_page_links": L.page_links,
 }
+
+
+# The eight stated research questions and the query that answers each (with
+# the selection to pass where the default is not the one asked for).
+QUESTIONS: dict[int, tuple[str, dict]] = {
+    1: ("q_ws_country_map_v1", {"year": "<latest year>"}),   # rate per country in one year
+    2: ("q_ws_income_trend", {}),                            # income vs rate over time
+    3: ("q_top_causes_by_year", {"years": "(y1, y2)"}),      # main causes of two years
+    4: ("q_ws_region_mortality", {}),                        # regions over time
+    5: ("q_above_threshold", {"reason": "<cause>", "x": "<rate>"}),
+    6: ("q_biggest_decrease", {"span": "<years>"}),          # biggest fall over a span
+    7: ("q_ws_region_rank", {}),                             # rate across regions
+    8: ("q_corr_income", {}),                                # correlation income / rate
+}
