@@ -91,15 +91,15 @@ QUERIES: dict[str, Query] = {
 }
 
 
-# The eight stated research questions and the query that answers each (with
-# the selection to pass where the default is not the one asked for).
-QUESTIONS: dict[int, tuple[str, dict]] = {
-    1: ("q_ws_country_map_v1", {"year": "<latest year>"}),   # rate per country in one year
-    2: ("q_ws_income_trend", {}),                            # income vs rate over time
-    3: ("q_top_causes_by_year", {"years": "(y1, y2)"}),      # main causes of two years
-    4: ("q_ws_region_mortality", {}),                        # regions over time
-    5: ("q_above_threshold", {"reason": "<cause>", "x": "<rate>"}),
-    6: ("q_biggest_decrease", {"span": "<years>"}),          # biggest fall over a span
-    7: ("q_ws_region_rank", {}),                             # rate across regions
-    8: ("q_corr_income", {}),                                # correlation income / rate
+# The eight stated research questions: the query answering each and the
+# worksheet parameter to set where the default selection is not the one asked.
+QUESTIONS: dict[int, tuple[str, str]] = {
+    1: ("q_ws_country_map_v1", "year: the year asked for"),
+    2: ("q_ws_income_trend", ""),
+    3: ("q_top_causes_by_year", "years: the two years compared"),
+    4: ("q_ws_region_mortality", ""),
+    5: ("q_above_threshold", "reason, x: the cause and the rate"),
+    6: ("q_biggest_decrease", "span: the number of years"),
+    7: ("q_ws_region_rank", ""),
+    8: ("q_corr_income", ""),
 }
