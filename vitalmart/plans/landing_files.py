@@ -108,7 +108,11 @@ def staging_from_landing(spark: SparkSession, root: str) -> dict[str, DataFrame]
 
 
 def _cause_values(spark: SparkSession, root: str) -> DataFrame:
-    """All cause files in one scan -> (reason_name, name, year, value_per_reason)."""
+    """All cause files in one scan -> (reason_name, name, year, value_per_reason).
+
+    The files share one header layout (the same years), as the scraped cause
+    tables do; the header of one file names the columns of all.
+    """
     raw = (spark.read.option("header", False).csv(f"{root.rstrip('/')}/WHO/*.csv")
            .withColumn("reason_name", file_stem(F.col("_metadata.file_name")))
            .withColumn("_mid", F.monotonically_increasing_id()))
