@@ -92,3 +92,12 @@ def test_star_from_landing(spark, landing):
     ).collect()}
     assert got == {"South Asia": (3.5 + 3.7 + 1.25 + 1.5) / 4,
                    "Europe & Central Asia": (0.1 + 0.5) / 2}
+
+
+def test_cli_load(spark, landing, tmp_path, capsys):
+    from vitalmart.__main__ import main
+    out = str(tmp_path / "warehouse")
+    assert main(["load", "--landing", landing, "--out", out]) == 0
+    assert "mart/fact_metric_death_reasons" in capsys.readouterr().out
+    assert spark.read.parquet(f"{out}/mart/fact_metrics").count() == 7
+    assert spark.read.parquet(f"{out}/mart/v1").count() == 7 - 4 + 6

@@ -4,6 +4,7 @@
     python -m vitalmart build --sf /root/testdata/sf0.01
     python -m vitalmart query q_ws_region_rank --sf /root/testdata/sf0.01 [--show 20]
     python -m vitalmart query q_ws_trend --sf ... --out /shared/results/trend   (parquet)
+    python -m vitalmart load --landing <root with WDI/ and WHO/> --out <folder>
 """
 
 from __future__ import annotations
@@ -21,6 +22,10 @@ def main(argv=None) -> int:
     b = sub.add_parser("build", parents=[common],
                        help="build (or reuse) the mart of an input folder")
     b.add_argument("--sf", required=True, help="folder with the input parquet tables")
+    ld = sub.add_parser("load", parents=[common],
+                        help="staging and star from landing files (full refresh)")
+    ld.add_argument("--landing", required=True, help="folder with WDI/ and WHO/ files")
+    ld.add_argument("--out", required=True, help="folder for the staging and star tables")
     q = sub.add_parser("query", parents=[common], help="run one registered query")
     q.add_argument("name")
     q.add_argument("--sf", required=True)
@@ -35,6 +40,11 @@ def main(argv=None) -> int:
 
     from vitalmart.session import get_session
     spark = get_session(args.master)
+    if args.cmd == "load":
+        from vitalmart.plans.landing_files import load
+        for name in load(spark, args.landing, args.out):
+            print(name)
+        return 0
     if args.cmd == "build":
         from vitalmart.plans.star import mart
         m = mart(spark, args.sf).build()

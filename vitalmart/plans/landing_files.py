@@ -155,3 +155,20 @@ def star_from_staging(spark: SparkSession, s: dict[str, DataFrame]) -> dict[str,
             "fact_metrics": fact_metrics, "fact_metric_death_reasons": fact_reasons,
             "v1": sr.view_v1(fact_metrics, fact_reasons, dim_country, dim_reason, dim_date),
             "v2": sr.view_v2(fact_metrics, fact_reasons, dim_country, dim_reason, dim_date)}
+
+
+def load(spark: SparkSession, root: str, out: str) -> list[str]:
+    """Full refresh: staging and star from landing files, written as parquet
+    under ``out`` in load order (facts after the dimensions they reference)."""
+    staging = staging_from_landing(spark, root)
+    written = []
+    for name, df in staging.items():
+        df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/staging/{name}")
+        written.append(f"staging/{name}")
+    stg = {n: spark.read.parquet(f"{out.rstrip('/')}/staging/{n}") for n in staging}
+    star = star_from_staging(spark, stg)
+    for name in ["dim_date", "dim_country", "dim_reason", "fact_metrics",
+                 "fact_metric_death_reasons", "v1"]:
+        star[name].write.mode("overwrite").parquet(f"{out.rstrip('/')}/mart/{name}")
+        written.append(f"mart/{name}")
+    return written
