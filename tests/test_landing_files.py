@@ -101,3 +101,16 @@ def test_cli_load(spark, landing, tmp_path, capsys):
     assert "mart/fact_metric_death_reasons" in capsys.readouterr().out
     assert spark.read.parquet(f"{out}/mart/fact_metrics").count() == 7
     assert spark.read.parquet(f"{out}/mart/v1").count() == 7 - 4 + 6
+
+
+def test_worksheets_run_on_a_landing_root(spark, landing):
+    from vitalmart.plans.catalogue import QUERIES
+    from vitalmart.plans.star import mart
+    m = mart(spark, landing).build()
+    assert m.landing and m.table("fact_metrics").count() == 7
+    ranks = {r.region_name: r.rank for r in QUERIES["q_ws_region_rank"](spark, landing).collect()}
+    # mean under-5 rate over V2 rows: South Asia (India) above Europe & Central Asia
+    assert ranks == {"South Asia": 1, "Europe & Central Asia": 2}
+    assert all(r.n_violations == 0 for r in QUERIES["q_fk_violations"](spark, landing).collect())
+    reasons = {r.reason_desc for r in QUERIES["q_ws_reasons_over_time"](spark, landing).collect()}
+    assert reasons == {"Malaria", "Measles", None}
