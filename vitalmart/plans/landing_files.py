@@ -168,7 +168,7 @@ def load(spark: SparkSession, root: str, out: str) -> list[str]:
     stg = {n: spark.read.parquet(f"{out.rstrip('/')}/staging/{n}") for n in staging}
     star = star_from_staging(spark, stg)
     for name in ["dim_date", "dim_country", "dim_reason", "fact_metrics",
-                 "fact_metric_death_reasons", "v1"]:
+                 "fact_metric_death_reasons", "v1", "v2"]:
         star[name].write.mode("overwrite").parquet(f"{out.rstrip('/')}/mart/{name}")
         written.append(f"mart/{name}")
     return written
