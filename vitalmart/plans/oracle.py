@@ -78,6 +78,7 @@ VIEW_COLS = """fm.metric_id, fm.indicator_name, fm.indicator_metric, fm.date_yea
   dc.region_name, dc.income_name, dr.reason_id, dr.reason_desc, dd.date_string, dd.date_tens"""
 
 PRELUDE = f"""
+-- the one data pass: lines per order, then (nation, year, priority) cells
 li AS (SELECT l_orderkey, SUM(CAST(l_quantity AS DECIMAL(12,2))) AS qty, COUNT(*) AS lines
        FROM lineitem GROUP BY l_orderkey),
 cells AS (
@@ -88,6 +89,7 @@ cells AS (
   FROM orders o LEFT JOIN li ON o.o_orderkey = li.l_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
   GROUP BY 1, 2, 3),
+-- staging: regions (first appearance), countries (dictionary spellings), lookups
 nat AS (SELECT n.n_nationkey, n.n_name, n.n_regionkey, r.r_name
         FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
 names AS {name_sides()},
@@ -102,6 +104,7 @@ stg_country AS (
   LEFT JOIN names ON names.k = nat.n_nationkey),
 income_group AS {values(INCOME_NAMES, ["income_group_id", "income_name"])},
 indicator AS {values([(i, n, c) for i, n, c in INDICATORS], ["indicator_id", "indicator_name", "world_bank_ind_id"])},
+-- staging: the two indicator series (exact half-up cents), ids in load order
 ny AS (SELECT nationkey, year, SUM(sum_qty) AS sum_qty, SUM(n_lines) AS n_lines,
               SUM(sum_price) AS sum_price, SUM(n_orders) AS n_orders FROM cells GROUP BY 1, 2),
 series AS (
@@ -114,6 +117,7 @@ ipc AS (SELECT CAST(row_number() OVER (ORDER BY indicator_id, country_id, year)
                  AS indicator_per_country_id, value, CAST(year AS INTEGER) AS year,
                CAST(indicator_id AS INTEGER) AS indicator_id, country_id
         FROM series WHERE value IS NOT NULL),
+-- staging: causes, cause values by source spelling, mapped names joined on (name, year)
 death_reason AS (SELECT CAST(row_number() OVER (ORDER BY reason_name) AS INTEGER) AS death_reason_id,
                         reason_name FROM (SELECT DISTINCT priority AS reason_name FROM cells)),
 rv AS (
@@ -129,6 +133,7 @@ ipcr AS (
   SELECT rv.value_per_reason, d.death_reason_id AS reason_id, u5.indicator_per_country_id
   FROM rv JOIN u5 ON {map_names('rv.name')} = u5.name AND rv.year = u5.year
   JOIN death_reason d ON rv.reason_name = d.reason_name),
+-- staging: band texts per year, parsed; GNI values into bands (range join)
 band_years AS (SELECT DISTINCT year FROM cells WHERE year >= {BANDS_FROM_YEAR}),
 bands AS (SELECT year, b.income AS income, b.value AS value
           FROM (SELECT year, unnest({band_struct_list()}) AS b FROM band_years)),
@@ -140,6 +145,7 @@ igy AS (SELECT CAST(row_number() OVER (ORDER BY year, income_group_id) AS INTEGE
 igc AS (SELECT g.country_id, b.income_group_year_id
         FROM ipc g JOIN igy b ON g.year = b.year AND g.value BETWEEN b.lower_bound AND b.upper_bound
         WHERE g.indicator_id = 2),
+-- star: dimensions (yearly snapshots), facts, and the two views
 dim_date AS (
   SELECT DISTINCT CAST(year AS INTEGER) AS date_year, CAST(year AS VARCHAR) AS date_string,
          CASE WHEN year >= 1960 AND year < 2030 THEN CAST(year - (year % 10) AS VARCHAR) END AS date_tens
