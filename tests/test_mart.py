@@ -21,3 +21,16 @@ def test_interrupted_folder_is_replaced(spark):
     assert not m.exists("half_written")
     m.publish("half_written", lambda p: spark.range(3).write.parquet(p))
     assert m.exists("half_written") and spark.read.parquet(m.path("half_written")).count() == 3
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from vitalmart.session import input_bytes, scoped_conf, shuffle_partitions_for
+    paths = [f"{SF001}/lineitem.parquet", f"{SF001}/orders.parquet"]
+    total = input_bytes(spark, paths)
+    assert total == sum(os.path.getsize(p) for p in paths)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert shuffle_partitions_for(spark, paths) == current          # small input: unchanged
+    assert shuffle_partitions_for(spark, paths, target_bytes=1000) == -(-total // 1000)
+    with scoped_conf(spark, {"spark.sql.shuffle.partitions": 123}):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "123"
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == current

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import getpass
 import os
 import tempfile
@@ -99,3 +100,45 @@ def is_local(path: str) -> bool:
 
 def path_exists(path: str) -> bool:
     return os.path.exists(local_path(path))
+
+
+TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (Hadoop file system sizes)."""
+    sc = spark.sparkContext
+    total = 0
+    for p in paths:
+        jp = sc._jvm.org.apache.hadoop.fs.Path(p)
+        fs = jp.getFileSystem(sc._jsc.hadoopConfiguration())
+        if fs.exists(jp):
+            total += int(fs.getContentSummary(jp).getLength())
+    return total
+
+
+def shuffle_partitions_for(spark: SparkSession, paths,
+                           target_bytes: int = TARGET_SHUFFLE_PARTITION_BYTES) -> int:
+    """Shuffle partitions for a job reading ``paths``: input bytes / target
+    (an upper bound of its shuffle after pruning and partial aggregation),
+    never fewer than the session's setting; AQE coalesces what is too small."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    wanted = -(-input_bytes(spark, paths) // target_bytes)
+    return int(min(max(current, wanted), MAX_SHUFFLE_PARTITIONS))
+
+
+@contextlib.contextmanager
+def scoped_conf(spark: SparkSession, settings: dict):
+    """Session settings for the duration of one job, restored afterwards."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
