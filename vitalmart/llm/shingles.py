@@ -36,10 +36,20 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    return data + np.uint8(32) * ((data >= 65) & (data <= 90))
+
+
+def spans(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """The hashes of data[s:e]."""
+    p = prefix_hashes(data)
+    _, back = powers(len(data) + 1)
+    return mix((p[e] - p[s]) * back[s] + (e - s).astype(np.uint64))
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word (A-Z lowered, words end at space, tab to carriage
     return, or the document's end), and the words before each document."""
-    low = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
@@ -49,10 +59,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     end = inside.copy()
     end[:-1] &= blank[1:] | first[1:-1]
     s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
-    p = prefix_hashes(low)
-    _, back = powers(len(data) + 1)
-    h = mix((p[e] - p[s]) * back[s] + (e - s).astype(np.uint64))
-    return h, np.searchsorted(s, offsets)
+    return spans(lowered(data), s, e), np.searchsorted(s, offsets)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:

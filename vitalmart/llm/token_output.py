@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalmart.llm.common import lists, ship, steps, text_bytes
-from vitalmart.llm.tokens import Encoder, planes, unplanes
+from vitalmart.llm.tokens import encoder, planes, unplanes
 
 CHUNK_IDS = 1 << 18
 
 
 def _encoded(tokenizer: str, end_id: int | None, chunk: int):
     def run(batches):
-        encoder = Encoder(tokenizer, end_id)
+        coder = encoder(tokenizer, end_id)
         shard, number, first = TaskContext.get().partitionId(), 0, 0
         docs, lengths, ids = [], [], []
 
@@ -47,10 +47,10 @@ def _encoded(tokenizer: str, end_id: int | None, chunk: int):
 
         held = 0
         for batch in batches:
-            names, column = batch.column(0).to_pylist(), batch.column(1)
-            _, off = text_bytes(column)
+            names = batch.column(0).to_pylist()
+            data, off = text_bytes(batch.column(1))
             for a, b in steps(off):
-                flat, n = encoder.encode(column.slice(a, b - a).to_pylist())
+                flat, n = coder.encode(data[off[a]:off[b]], off[a:b + 1] - off[a])
                 ends = np.cumsum(n)
                 i = 0
                 while i < b - a:  # whole documents up to a chunk's size

@@ -3,91 +3,134 @@
 from __future__ import annotations
 
 import re
+from array import array
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import zstandard
 
-_BLANK = re.compile("[\n\t\r]")
+from vitalmart.llm.shingles import lowered, spans
+
+#: What a segment must be to be given to the model itself, once lowered.
+_LETTERS, _MARKS = re.compile("[a-zß-öø-ÿ]+"), re.compile("[!-&(-/:;=?@\\[-`{-~]+")
+
+# Byte classes: blank, letter of a simple word, mark of one, anything else.
+_BLANK, _LETTER, _MARK, _OTHER = range(4)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[32, 9, 10, 13]] = _BLANK
+_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = _LETTER
+_CLASS[[c for c in range(33, 127) if _MARKS.fullmatch(chr(c))]] = _MARK
+
+
+def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces that can be encoded apart from each
+    other: the words between blanks, and where a word is made of Latin-1
+    letters and ASCII marks only, its runs of either."""
+    kind = _CLASS[data]
+    before = np.r_[np.uint8(0), data[:-1]]
+    high = data >= 128
+    fine = (data == 0xC3) | (high & (data < 0xC0) & (before == 0xC3) & (data != 0x97) & (data != 0xB7))
+    odd = (kind == _OTHER) | (high & ~fine)
+    first = np.zeros(len(data) + 1, bool)
+    first[offsets] = True
+    blank = kind == _BLANK
+    start = ~blank
+    start[1:] &= blank[:-1] | first[1:-1]
+    word = np.flatnonzero(start)
+    turn = np.flatnonzero((kind[1:] != kind[:-1]) & ~blank[1:] & ~blank[:-1] & ~first[1:-1]) + 1
+    if len(word):
+        simple = np.diff(np.r_[0, np.cumsum(odd)][np.r_[word, len(data)]]) == 0  # blanks count as nothing
+        turn = turn[simple[np.searchsorted(word, turn, side="right") - 1]]
+    starts = np.sort(np.r_[word, turn])
+    end = ~blank
+    end[:-1] &= blank[1:] | first[1:-1]
+    return starts, np.sort(np.r_[np.flatnonzero(end) + 1, turn])
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level tokenizers write for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class Encoder:
     """Ids of whole texts by a tokenizers file whose pre-tokenizer never joins
-    text across white space: a text's ids are then the ids of its words, so
-    each distinct word is encoded by the library once and looked up after
-    that. Holds at most ``most`` words, then starts again."""
-
-    def __init__(self, path: str, end_id: int | None = None, most: int = 300_000):
+    text across white space: a text's ids are then the ids of its segments
+    (see above), so each distinct segment is encoded by the library once and
+    found again by a 64-bit hash of its lowered bytes. Runs of plain Latin
+    letters, whose normalised form is known, go to the library's model
+    directly; all else goes through the whole tokenizer. Holds at most
+    ``most`` segments, then starts again."""
+
+    def __init__(self, path: str, end_id: int | None = None, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.joint = next((t.content for t in added.values()), None)
-        self.joint_id = self.tokenizer.token_to_id(self.joint) if self.joint else None
+        self.letters = _byte_letters()
         self.end_id, self.most = end_id, most
+        # the short ways must give what the whole tokenizer gives
+        probe = ["Ouwhea", "the", "É", "üBer", "straße", "x", "Zzyxqj"]
+        if not all(self._model(w.lower()) == self._whole(w) == self._whole(w.lower()) for w in probe) or not all(
+                self._whole(w + m) == self._whole(w) + self._whole(m) for w in probe for m in (".", ",", "?!", ";:")):
+            raise ValueError(f"{path} doesn't lower its words or split them from marks")
         self._reset()
 
     def _reset(self) -> None:
-        self.at: dict[str, int] = {}
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.start, self.length, self.used = [], [], 0
-        self._arrays = None
-
-    def _put(self, word: str, ids) -> None:
-        n = len(ids)
-        while self.used + n > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used:self.used + n] = ids
-        self.at[word] = len(self.start)
-        self.start.append(self.used)
-        self.length.append(n)
-        self.used += n
-        self._arrays = None
-
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if not self.joint or "<" not in w]
-        for a in range(0, len(plain), 2000):
-            part = plain[a:a + 2000]
-            if self.joint:  # one call for many words, held apart by a special token
-                ids = np.array(self.tokenizer.encode(self.joint.join(part), add_special_tokens=False).ids, np.uint32)
-                cut = np.flatnonzero(ids == self.joint_id)
-                if len(cut) == len(part) - 1:
-                    for w, x in zip(part, np.split(ids, cut)):
-                        self._put(w, x if w is part[0] else x[1:])
-                    continue
-            for w in part:
-                self._put(w, self.tokenizer.encode(w, add_special_tokens=False).ids)
-        for w in words:
-            if w not in self.at:
-                self._put(w, self.tokenizer.encode(w, add_special_tokens=False).ids)
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and the number of ids of each text
-        (null: as empty), the end id included."""
-        words: list[str] = []
-        upto = []
-        for t in texts:
-            if t:
-                if "\n" in t or "\t" in t or "\r" in t:
-                    t = _BLANK.sub(" ", t)
-                words += t.split(" ")
-            if self.end_id is not None:
-                words.append("\n")  # no word holds one: stands for the end id
-            upto.append(len(words))
+        self.at: dict[int, int] = {}
+        self.flat, self.ends = array("I"), array("q", [0])  # ids of segment k: flat[ends[k]:ends[k + 1]]
+
+    def _whole(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _model(self, low: str) -> list[int]:
+        if not low.isascii():
+            low = "".join(map(self.letters.__getitem__, low.encode()))
+        return [t.id for t in self.tokenizer.model.tokenize(low)]
+
+    def _learn(self, keys: list[int], words: list[bytes]) -> None:
+        for key, word in zip(keys, words):
+            word = word.decode()
+            low = word.lower()
+            self.flat.extend(self._model(low) if _LETTERS.fullmatch(low) else self._whole(word))
+            self.at[key] = len(self.ends) - 1
+            self.ends.append(len(self.flat))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts data[offsets[i]:offsets[i + 1]] one after the
+        other, and the number of ids of each text, its end id included."""
+        starts, ends = segments(data, offsets)
+        with np.errstate(over="ignore"):
+            keys = spans(lowered(data), starts, ends)
+        found, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.at) > self.most:
             self._reset()
-        if self.end_id is not None and "\n" not in self.at:
-            self._put("\n", [self.end_id])
-        if new := [w for w in dict.fromkeys(words) if w not in self.at]:
-            self._learn(new)
-        if self._arrays is None:
-            self._arrays = np.array(self.start, np.int64), np.array(self.length, np.int64)
-        index = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
-        start, length = (x[index] for x in self._arrays)
+        names = found.tolist()
+        index = np.fromiter(map(self.at.get, names, repeat(-1)), np.int64, len(names))
+        if len(missing := np.flatnonzero(index < 0)):
+            raw = data.tobytes()
+            at = where[missing]
+            self._learn([names[i] for i in missing.tolist()],
+                        [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            index[missing] = np.fromiter(map(self.at.__getitem__, found[missing].tolist()), np.int64, len(missing))
+        upto, pool = np.frombuffer(self.ends, np.int64), np.frombuffer(self.flat, np.uint32)
+        index = index[inverse]
+        begin = upto[index]
+        length = upto[index + 1] - begin
         after = np.cumsum(length)
         total = int(after[-1]) if len(after) else 0
-        ids = self.pool[np.repeat(start - (after - length), length) + np.arange(total)]
-        ends = np.r_[0, after][np.array(upto, np.int64)] if upto else np.zeros(0, np.int64)
-        return ids, np.diff(np.r_[0, ends])
+        ids = pool[np.repeat(begin - (after - length), length) + np.arange(total)]
+        at = np.r_[0, after][np.searchsorted(starts, offsets)]
+        if self.end_id is None:
+            return ids, np.diff(at)
+        return np.insert(ids, at[1:], self.end_id), np.diff(at) + 1
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, end_id: int | None) -> Encoder:
+    """One encoder per worker process, which keeps its words between tasks."""
+    return Encoder(path, end_id)
 
 
 BLOCK = 1 << 14
