@@ -111,12 +111,12 @@ WITH RECURSIVE words AS (
          ELSE array_to_string(w[i:i + 3], ' ') END AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)
 ), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
-), both AS (
+), shared AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id
   GROUP BY a.doc_id, b.doc_id
 ), links AS (
-  SELECT a, b FROM both JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-  WHERE 100 * both.n >= 80 * (x.n + y.n - both.n)
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)
 ), reach AS (
   SELECT doc_id AS a, doc_id AS b FROM documents
   UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
