@@ -64,7 +64,7 @@ class Encoder:
     directly; all else goes through the whole tokenizer. Holds at most
     ``most`` segments, then starts again."""
 
-    def __init__(self, path: str, end_id: int | None = None, most: int = 1_000_000):
+    def __init__(self, path: str, end_id: int | None = None, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
