@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalmart.llm.common import ship
+from vitalmart.llm.common import saved, ship
 
 _WORDS = re.compile(r"\w+")
 _LINE = re.compile(r"[^\n]*\n|[^\n]+")
@@ -79,8 +79,9 @@ def repeated(docs: DataFrame, least_words: int = 5) -> DataFrame:
     found = rows.mapInArrow(_listed(least_words), "doc_id bigint, text_hash bigint, start int, end int, d1 bigint, d2 bigint")
     place = F.struct("doc_id", "text_hash", "start")
     # counted before the shuffle, so a line of a third of all documents is one row per task
-    earliest = (found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-                .where("n > 1").drop("n"))
+    # (and written, so that the join below is between two plain shuffles, which Spark can split)
+    earliest = saved(found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+                     .where("n > 1").drop("n"))
     later = found.join(earliest, ["d1", "d2"]).where(~place.eqNullSafe(F.col("first")))
     return (later.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("s"))
             .select("doc_id", "text_hash", F.col("s.start").alias("starts"), F.col("s.end").alias("ends")))
