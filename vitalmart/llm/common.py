@@ -57,8 +57,12 @@ def scratch(spark: SparkSession) -> Iterator[str]:
     try:
         yield path
     finally:
-        jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+        removed(spark, path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def compact(df: DataFrame, path: str) -> DataFrame:

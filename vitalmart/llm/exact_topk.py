@@ -31,16 +31,21 @@ def approximate(x: np.ndarray, cells: int = CELLS) -> tuple[np.ndarray, np.ndarr
     return codes, borders
 
 
+def bounds(q: np.ndarray, codes: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Upper and lower bounds of the inner products of all queries with all
+    vectors of a block, from their cells alone: (queries, vectors). Exact for
+    whole numbers below 2 ** 53."""
+    d = np.arange(codes.shape[1])
+    low, high = borders[codes, d].astype(np.float64), borders[codes + 1, d].astype(np.float64)
+    plus, minus = np.maximum(q, 0).astype(np.float64), np.minimum(q, 0).astype(np.float64)
+    return plus @ high.T + minus @ low.T, plus @ low.T + minus @ high.T
+
+
 def top_of_block(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: int | None, k: int,
-                 codes: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                 upper: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids and scores of the k best vectors of a block for one query, ties to
     the smaller id, the query's own id left out."""
-    d = np.arange(x.shape[1])
-    low, high = q * borders[:-1], q * borders[1:]
-    most, least = np.maximum(low, high), np.minimum(low, high)
-    upper, lower = most[codes, d].sum(axis=1), least[codes, d].sum(axis=1)
-    able = ids != own if own is not None else np.ones(len(ids), bool)
-    at = np.flatnonzero(able)
+    at = np.flatnonzero(ids != own)
     if len(at) > k:
         at = at[upper[at] >= np.partition(lower[at], len(at) - k)[len(at) - k]]
     at = at[np.argsort(-upper[at], kind="stable")]
@@ -88,19 +93,22 @@ def _search(k: int):
                 ids = np.array(ids, np.int64)
                 x = np.frombuffer(data, np.int64).reshape(-1, dim)
                 q = np.frombuffer(qdata, np.int64).reshape(-1, dim)
-                if dim and float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * dim >= 2.0 ** 62:
-                    x, q = x.astype(object), q.astype(object)  # beyond 64 bits
+                if dim and float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * dim >= 2.0 ** 51:
+                    x, q = x.astype(object), q.astype(object)  # beyond what doubles hold
                 if number != key:
                     key, codes = number, approximate(x) if x.dtype != object else None
-                for own, v in zip(qids, q):
-                    if codes is None or codes[0].shape != x.shape:
+                vast = x.dtype == object or not dim
+                if not vast:
+                    upper, lower = bounds(q, *(codes or approximate(x)))
+                for n, (own, v) in enumerate(zip(qids, q)):
+                    if vast:
                         at = np.flatnonzero(ids != own)
                         s = (x[at] * v).sum(axis=1) if dim else np.zeros(len(at), object)
                         s = np.array([min(max(int(z), -(1 << 63)), (1 << 63) - 1) for z in s], np.int64)
                         order = np.lexsort((ids[at], -s.astype(object) if dim else s))[:k]
                         found, score = ids[at][order], s[order]
                     else:
-                        found, score = top_of_block(v, x, ids, own, k, *codes)
+                        found, score = top_of_block(v, x, ids, own, k, upper[n], lower[n])
                     a += [own] * len(found)
                     b += found.tolist()
                     c += score.tolist()

@@ -224,7 +224,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, permut
                         .select("sig", F.col("r.doc_id").alias("rep"), F.col("r.bands").alias("bands")))
         # one row per band and class; buckets of one class have no pairs
         banded = classes.select("sig", "rep", F.explode("bands").alias("key"))
-        ends = (banded.groupBy("key").agg(F.min("sig").alias("p"), F.max("sig").alias("q")).where("p <> q"))
+        # written, so that the join is between two plain shuffles, which Spark can split
+        ends = saved(banded.groupBy("key").agg(F.min("sig").alias("p"), F.max("sig").alias("q")).where("p <> q"))
         buckets = saved(banded.join(ends, "key"))
         first = (buckets.select(F.explode(F.array("p", "q")).alias("a"), F.col("sig").alias("b")).where("a <> b")
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())

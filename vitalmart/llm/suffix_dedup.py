@@ -486,7 +486,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, mos
         # all side bytes of a half in one block at first, then narrower ones
         items, width = long.mapInArrow(_items(length, gram, 2 * length), _ITEM), 2 * length
         while True:
-            shared = items.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("part")
+            # written, so that the join is between two plain shuffles, which Spark can split
+            shared = saved(items.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("part"))
             hits = compact(items.join(shared, "part"), f"{path}/hits{width}")
             classes = compact(hits.groupBy("part", "whole").agg(
                 F.count(F.lit(1)).alias("n"), F.min(F.struct(*key, "a", "shape")).alias("r")), f"{path}/classes{width}")
