@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalmart.llm import language_id, minmax_dedup, mixing, packing, substring_dedup
-from vitalmart.llm.common import table
+from vitalmart.llm.common import removed, table
 from vitalmart.llm.queries import tokenizer_path
 from vitalmart.session import warehouse_path
 
@@ -53,8 +53,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    base = warehouse_path(spark, "pipeline", uuid.uuid4().hex)
+    last = None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
-        docs = spark.read.parquet(f"{base}/{name}")
-    return docs
+        path = warehouse_path(spark, "pipeline", f"{uuid.uuid4().hex}-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if last:
+            removed(spark, last)
+        last = path
+    return docs  # its table stays in the shared folder
