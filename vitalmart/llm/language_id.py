@@ -53,6 +53,12 @@ def grams(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     return out, begin
 
 
+def _slices(batches, rows: int = 1000):
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def _counted(batches):
     """Per task: the n-gram counts and documents of each language."""
     counts: dict[str, np.ndarray] = {}
@@ -66,7 +72,7 @@ def _counted(batches):
                  pa.array(np.r_[docs[lang], c[at]].astype(np.int64))], ["lang", "bucket", "n"])
         counts.clear(), docs.clear()
 
-    for batch in batches:
+    for batch in _slices(batches):
         texts, langs = np.array(batch.column(0).to_pylist(), object), np.array(batch.column(1).to_pylist(), object)
         for lang in dict.fromkeys(langs):
             own = texts[langs == lang].tolist()
@@ -102,12 +108,14 @@ def fit(labelled: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndar
     return langs, np.log(docs / max(docs.sum(), 1)), np.vstack([logs, np.zeros((1, len(langs)))])
 
 
-def _scored(model):
+def _scored(model, text: int, keep: int):
+    """text: the column of the text; keep: the columns to hand on."""
+
     def run(batches):
         langs, prior, logs = model.value
         tables = [np.ascontiguousarray(logs[:, i]) for i in range(len(langs))]
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+        for batch in _slices(batches):
+            texts = batch.column(text).to_pylist()
             scored = [i for i, t in enumerate(texts) if t and langs and _LETTER.search(t)]
             names, score = np.full(len(texts), "und", object), np.zeros(len(texts))
             own = [texts[i] for i in scored]
@@ -121,8 +129,8 @@ def _scored(model):
                 names[at] = np.array(langs, object)[best]
                 score[at] = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(score)],
-                [*batch.schema.names[:-1], "lang_pred", "score"])
+                [*batch.columns[:keep], pa.array(names, pa.string()), pa.array(score)],
+                [*batch.schema.names[:keep], "lang_pred", "score"])
 
     return run
 
@@ -135,7 +143,9 @@ def predict(docs: DataFrame, model, keep: list[str]) -> DataFrame:
     ship(spark)
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([f"`{c}` {fields[c]}" for c in keep] + ["lang_pred string", "score double"])
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(_scored(spark.sparkContext.broadcast(model)), schema)
+    cols = keep if "text" in keep else [*keep, "text"]
+    return docs.select(*cols).mapInArrow(
+        _scored(spark.sparkContext.broadcast(model), cols.index("text"), len(keep)), schema)
 
 
 def held_out(doc_id: str = "doc_id"):

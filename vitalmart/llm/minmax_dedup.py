@@ -145,7 +145,7 @@ def intersections(sets: list[np.ndarray], dense: int = 128) -> np.ndarray:
     h, who = h[order], who[order]
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
     length = np.diff(np.r_[first, len(h)])
-    out = np.zeros((n, n))
+    out = np.zeros((n, n), np.int32)
     m = np.repeat(length, length)
     rare = m <= dense
     left = np.arange(len(h)) - np.repeat(first, length)  # position within its run
@@ -153,13 +153,14 @@ def intersections(sets: list[np.ndarray], dense: int = 128) -> np.ndarray:
         at = np.flatnonzero(rare & (left + k < m))
         np.add.at(out, (who[at], who[at + k]), 1)
     often = np.flatnonzero(length > dense)
-    for a in range(0, len(often), 4096):
-        some = often[a:a + 4096]
+    for a in range(0, len(often), 1024):
+        some = often[a:a + 1024]
         grid = np.zeros((n, len(some)), np.float32)
         rows = np.concatenate([who[first[c]:first[c] + length[c]] for c in some])
         grid[rows, np.repeat(np.arange(len(some)), length[some])] = 1
-        out += np.triu(grid @ grid.T, 1)
-    return out + out.T
+        out += np.triu(grid @ grid.T, 1).astype(np.int32)
+    out += out.T.copy()
+    return out
 
 
 def _linked_in_cells(shingle: int, percent: int):
@@ -168,12 +169,15 @@ def _linked_in_cells(shingle: int, percent: int):
         if len(ids) < 2:
             return ids[:0], ids[:0]
         sets = [set_of(unpress.decompress(packed[i]), shingle) for i in at]
-        n = np.array([len(s) for s in sets], float)
+        n = np.array([len(s) for s in sets], np.int64)
         both = intersections(sets)
-        link = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+        parts = [slice(k, k + 128) for k in range(0, len(ids), 128)]  # keeps temporaries small
+        link = np.vstack([(100 + percent) * both[p].astype(np.int64) >= percent * (n[p, None] + n[None, :]) for p in parts])
+        np.fill_diagonal(link, False)
         label = np.arange(len(ids))
         while True:  # the smallest index reachable
-            new = np.minimum(label, np.where(link, label[None, :], len(ids)).min(axis=1))
+            least = np.concatenate([np.where(link[p], label[None, :], len(ids)).min(axis=1) for p in parts])
+            new = np.minimum(label, least)
             new = new[new]
             if (new == label).all():
                 break

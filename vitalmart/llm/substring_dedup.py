@@ -49,7 +49,7 @@ def _digest(words: list[str]) -> bytes:
 
 def _listed(least_words: int):
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(a, 1000) for b in batches for a in range(0, b.num_rows, 1000)):
             row, start, end, digest = [], [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 for a, b, d in units(text or "", least_words):
