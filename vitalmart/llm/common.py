@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from vitalmart.session import ensure_checkpoint_dir, warehouse_path
 
 #: Bytes of text that one numpy step works on (a longer document is one step).
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

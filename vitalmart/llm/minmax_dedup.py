@@ -111,7 +111,7 @@ def _confirmed(shingle: int, percent: int):
     return run
 
 
-def _cells(members: DataFrame, rows: int = 1024, size: int = 2 << 20) -> DataFrame:
+def _cells(members: DataFrame, rows: int = 512, size: int = 1 << 20) -> DataFrame:
     """Rows (cell, rep, packed), cells together: outer members of a bucket
     meet each other and the bucket's main component, in blocks of about
     ``rows`` members or ``size`` compressed bytes."""
