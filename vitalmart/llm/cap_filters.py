@@ -26,41 +26,47 @@ from vitalmart.llm.common import components, lists, saved, ship
 _SEED = 7919
 
 
-def code_book(dim: int, words: int, parts: int = 4) -> list[np.ndarray]:
-    """Random unit code words of every part, scaled so that a whole filter has
-    length 1."""
+def code_book(dim: int, words: int, parts: int = 4) -> tuple[np.ndarray, list[np.ndarray]]:
+    """A random rotation, which spreads every vector over all parts, and random
+    unit code words of every part, scaled so that a whole filter has length 1;
+    a part of one component has two words, an empty one a single word."""
     rng = np.random.default_rng([_SEED, dim])
-    sizes = [len(p) for p in np.array_split(np.arange(dim), parts)]
+    rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
     out = []
-    for n in sizes:
-        w = rng.standard_normal((words, n))
+    for n in (len(p) for p in np.array_split(np.arange(dim), parts)):
+        w = rng.standard_normal((words, n)) if n > 1 else np.array([[1.0], [-1.0]]) if n else np.zeros((1, 0))
         out.append(w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12) * np.sqrt(n / dim))
-    return out
+    return rotation, out
 
 
-def decode(x: np.ndarray, book: list[np.ndarray], threshold: float, least: int) -> np.ndarray:
-    """Filters of one unit vector: all with a score of ``threshold`` or more,
-    and the ``least`` best in any case; ascending."""
+def decode(x: np.ndarray, rotation: np.ndarray, book: list[np.ndarray], steep: float, least: int) -> np.ndarray:
+    """Filters of one unit vector: all whose score is ``steep`` standard
+    deviations of a random score (1 / sqrt(dim)) or more; where these are
+    fewer than ``least``, the ``least`` best. Ascending."""
     cuts = np.cumsum([b.shape[1] for b in book])[:-1]
-    scores = [b @ p for b, p in zip(book, np.split(x, cuts))]
-    words = len(scores[0])
+    scores = [b @ p for b, p in zip(book, np.split(rotation @ x, cuts))]
     left = (scores[0][:, None] + scores[1]).ravel()
     right = (scores[2][:, None] + scores[3]).ravel()
     order = np.argsort(-right, kind="stable")
     ranked = -right[order]
-    while True:
-        n = np.searchsorted(ranked, left - threshold, side="right")  # right scores that suffice for each left
-        if n.sum() >= min(least, len(left) * len(right)):
-            break
+    threshold = steep / np.sqrt(len(x))
+    wanted = min(least, len(left) * len(right))
+    n = np.searchsorted(ranked, left - threshold, side="right")  # right scores that suffice for each left
+    few = n.sum() < wanted
+    while n.sum() < wanted:
         threshold -= 0.02
+        n = np.searchsorted(ranked, left - threshold, side="right")
     a = np.repeat(np.arange(len(left)), n)
     b = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    return np.sort(a * words * words + b)
+    found = a * len(right) + b
+    if few:
+        found = found[np.argsort(-(left[a] + right[b]), kind="stable")[:wanted]]
+    return np.sort(found)
 
 
-def _decoded(words: int, threshold: float, least: int):
+def _decoded(words: int, steep: float, least: int):
     def run(batches):
-        books: dict[int, list] = {}
+        books: dict[int, tuple] = {}
         for batch in batches:
             out, packed, n = [], [], []
             for v in batch.column(2):
@@ -71,8 +77,9 @@ def _decoded(words: int, threshold: float, least: int):
                 if not (np.isfinite(norm) and norm > 0) or len(x) == 0:
                     x = x / max(np.abs(x).max(initial=0), 5e-324)  # tiny or huge components
                     norm = np.sqrt((x * x).sum())
-                book = books.setdefault(len(x), code_book(len(x), words))
-                f = decode(x / norm, book, threshold, least)
+                if len(x) not in books:
+                    books[len(x)] = code_book(len(x), words)
+                f = decode(x / norm, *books[len(x)], steep, least)
                 out.append(f), n.append(len(f))
             flat = np.concatenate(out) if out else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -148,8 +155,8 @@ def _met(least_cosine: float, kind: str):
     return run
 
 
-def linked(vectors: DataFrame, least_cosine: float = 0.98, words: int = 32, threshold: float = 0.5,
-           least: int = 12, block: int = 1024) -> DataFrame:
+def linked(vectors: DataFrame, least_cosine: float = 0.98, words: int = 32, steep: float = 4.0,
+           least: int = 32, block: int = 1024) -> DataFrame:
     """Per row of ``vectors`` (vec_id, embedding, label): vec_id, n_links (other
     vectors linked directly), component_id (smallest vec_id reachable), kept.
 
@@ -159,8 +166,9 @@ def linked(vectors: DataFrame, least_cosine: float = 0.98, words: int = 32, thre
     rows without vec_id link with nothing. A repeated vec_id counts as so many
     vectors and gives as many rows, of one component. Empty table: no rows.
 
-    Recall rests on the filters: each vector has all filters above
-    ``threshold`` and at least its ``least`` best; measured in the tests.
+    Recall rests on the filters: each vector has all filters that it exceeds
+    by ``steep`` deviations and at least its ``least`` best; measured in the
+    tests.
     """
     ship(vectors.sparkSession)
     x = F.col("embedding")
@@ -175,7 +183,7 @@ def linked(vectors: DataFrame, least_cosine: float = 0.98, words: int = 32, thre
     one = saved(good.groupBy(by).agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("times")))
     kind = {"array<float>": "f4", "array<double>": "f8"}[dict(vectors.dtypes)["embedding"]]
     listed = saved(one.select("rep", "times", "embedding", "label").mapInArrow(
-        _decoded(words, threshold, least),
+        _decoded(words, steep, least),
         f"rep bigint, times bigint, label {dict(one.dtypes)['label']}, dim int, packed binary, filters array<bigint>"))
     # two classes can share a smallest vec_id only where vec_ids repeat
     listed = listed.withColumn("key", F.xxhash64("label", "packed"))
