@@ -41,7 +41,6 @@ INCOME_BAND_TEXTS = [
 ]
 OPEN_UPPER_BOUND = 1000000
 SHEET_HEADER = "Data for calendar year :"   # label cell of the sheet's header row
-BANDS_FROM_YEAR = 1996
 
 # --- country-name dictionary used before joining cause data ------------
 NAME_MAP = [
@@ -78,16 +77,9 @@ DECADE_BIN_FROM = 1960    # the hand-made "1960s".."2010s" bin ends at 2018
 DECADE_BIN_TO = 2018
 
 # --- mapping of the modelled pipeline onto the driver's tables ---------
-# Cause data exist only from this year on (the original cause files start
-# later than the indicator series).
-REASONS_FROM_YEAR = 1997
-# One under-5 value is left out so that outer joins have unmatched rows.
-OMIT_MORTALITY = (0, 1995)   # (n_nationkey, year)
 # Region dropped where the country list drops its aggregate pseudo-region.
 AGGREGATE_REGION = "AFRICA"
 # Nation k (k < len(NAME_MAP)) is named by the k-th dictionary entry: the
 # indicator side uses the right-hand spelling, the cause side the left-hand
 # one, so cause rows only join after the dictionary is applied. Other
 # nations keep n_name on both sides.
-# One cause cell is blank, so that melt (keeps NULL) and stack (drops it) differ.
-BLANK_CELL = (1, 1997)   # (n_nationkey, year), all reasons

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalmart.constants import BANDS_FROM_YEAR, SHEET_HEADER
+from vitalmart.constants import SHEET_HEADER
 from vitalmart.functions.dates import trunc_year, year_part, year_to_date
 from vitalmart.functions.stats import MONEY, mean
 from vitalmart.functions.text import (clean_name, contains_keyword, income_code, key_to_name,
@@ -146,18 +146,8 @@ def shape(spark, sf_dir) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-# Rows [start, stop) by position along the unique key (0-based, like
-# iloc). Only the first `stop` rows can be in the slice, so a bounded top-k
-# (per-partition top `stop`, then a merge) finds them without ranking the
-# whole table; larger slices number every row with `with_position`.
-TOP_K_SLICE_LIMIT = 100_000
-
-
+# Rows [start, stop) by position along the unique key (0-based, like iloc)
 def position_slice(df: DataFrame, order, start: int, stop: int) -> DataFrame:
-    if stop <= TOP_K_SLICE_LIMIT:
-        head_rows = df.orderBy(*order).limit(stop)
-        return (with_position(head_rows, order, "pos", start=0, partitions=1)
-                .where(F.col("pos") >= start))
     return (with_position(df, order, "pos", start=0)
             .where((F.col("pos") >= start) & (F.col("pos") < stop)))
 
@@ -168,16 +158,9 @@ def row_slice(spark, sf_dir, start: int = 4, stop: int = 9) -> DataFrame:
 
 
 # both measures present after an outer join
-def drop_incomplete(spark, sf_dir, year: int = 2001) -> DataFrame:
+def drop_incomplete(spark, sf_dir) -> DataFrame:
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    # a date range (not year(col) = y) so the predicate reaches the scan; the
-    # bounds take the column's own type (timestamp_ntz here: no zone shift)
-    orders = _t(spark, sf_dir, "orders")
-    ts = orders.schema["o_orderdate"].dataType
-    lo, hi = f"{year}-01-01 00:00:00", f"{year + 1}-01-01 00:00:00"
-    o = (orders
-         .where((F.col("o_orderdate") >= F.lit(lo).cast(ts))
-                & (F.col("o_orderdate") < F.lit(hi).cast(ts)))
+    o = (_t(spark, sf_dir, "orders")
          .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
                                    mean(F.col("o_totalprice").cast(MONEY)).alias("avg_totalprice")))
     j = c.join(o, c["c_custkey"] == o["o_custkey"], "left").drop("o_custkey")
@@ -188,7 +171,7 @@ def drop_incomplete(spark, sf_dir, year: int = 2001) -> DataFrame:
 
 def band_texts(spark, sf_dir) -> DataFrame:
     years = (_t(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"))
-             .distinct().where(F.col("year") >= BANDS_FROM_YEAR))
+             .distinct())
     return st.band_texts(years)
 
 
@@ -295,7 +278,7 @@ def cause_files(spark, sf_dir) -> DataFrame:
     """
     m = mart(spark, sf_dir)
     rv = _reason_values(spark, sf_dir)
-    cells = m.table("cells").where(F.col("year") >= st.REASONS_FROM_YEAR)
+    cells = m.table("cells")
     other = cells.join(F.broadcast(st.nations(spark, sf_dir).select("n_nationkey", "n_name")),
                        cells["nationkey"] == F.col("n_nationkey")).select(
         st.cause_side_name(F.col("nationkey"), F.col("n_name")).alias("name"),

@@ -7,10 +7,8 @@ same total orders the Spark side uses, so keyed tables compare exactly.
 
 from __future__ import annotations
 
-from vitalmart.constants import (AGGREGATE_REGION, BANDS_FROM_YEAR, BLANK_CELL, GNI,
-                                 INCOME_BAND_TEXTS, INCOME_CODES, INCOME_NAMES, INDICATORS,
-                                 MORTALITY, NAME_MAP, NO_DATE, NO_INCOME, OMIT_MORTALITY,
-                                 REASONS_FROM_YEAR)
+from vitalmart.constants import (AGGREGATE_REGION, GNI, INCOME_BAND_TEXTS, INCOME_CODES, INCOME_NAMES,
+                                 INDICATORS, MORTALITY, NAME_MAP, NO_DATE, NO_INCOME)
 
 
 def q(s: str) -> str:
@@ -110,7 +108,7 @@ ny AS (SELECT nationkey, year, SUM(sum_qty) AS sum_qty, SUM(n_lines) AS n_lines,
 series AS (
   SELECT CAST(nationkey + 1 AS INTEGER) AS country_id, year, 1 AS indicator_id,
          {cents_mean('sum_qty', 'n_lines')} AS value
-  FROM ny WHERE NOT (nationkey = {OMIT_MORTALITY[0]} AND year = {OMIT_MORTALITY[1]})
+  FROM ny
   UNION ALL
   SELECT CAST(nationkey + 1 AS INTEGER), year, 2, {cents_mean('sum_price', 'n_orders')} FROM ny),
 ipc AS (SELECT CAST(row_number() OVER (ORDER BY indicator_id, country_id, year) AS INTEGER)
@@ -122,11 +120,9 @@ death_reason AS (SELECT CAST(row_number() OVER (ORDER BY reason_name) AS INTEGER
                         reason_name FROM (SELECT DISTINCT priority AS reason_name FROM cells)),
 rv AS (
   SELECT COALESCE(names.cause_name, nat.n_name) AS name, cells.year, cells.priority AS reason_name,
-         CASE WHEN NOT (cells.nationkey = {BLANK_CELL[0]} AND cells.year = {BLANK_CELL[1]})
-              THEN {cents_mean('cells.sum_qty', 'cells.n_lines')} END AS value_per_reason
+         {cents_mean('cells.sum_qty', 'cells.n_lines')} AS value_per_reason
   FROM cells JOIN nat ON cells.nationkey = nat.n_nationkey
-  LEFT JOIN names ON names.k = cells.nationkey
-  WHERE cells.year >= {REASONS_FROM_YEAR}),
+  LEFT JOIN names ON names.k = cells.nationkey),
 u5 AS (SELECT ipc.indicator_per_country_id, c.country_name AS name, ipc.year, ipc.value
        FROM ipc JOIN stg_country c ON ipc.country_id = c.country_id WHERE ipc.indicator_id = 1),
 ipcr AS (
@@ -134,7 +130,7 @@ ipcr AS (
   FROM rv JOIN u5 ON {map_names('rv.name')} = u5.name AND rv.year = u5.year
   JOIN death_reason d ON rv.reason_name = d.reason_name),
 -- staging: band texts per year, parsed; GNI values into bands (range join)
-band_years AS (SELECT DISTINCT year FROM cells WHERE year >= {BANDS_FROM_YEAR}),
+band_years AS (SELECT DISTINCT year FROM cells),
 bands AS (SELECT year, b.income AS income, b.value AS value
           FROM (SELECT year, unnest({band_struct_list()}) AS b FROM band_years)),
 bounds AS (SELECT income, year, {band_lower('value')} AS lower_bound,
@@ -480,19 +476,17 @@ WHERE pos >= 4 AND pos < 9""",
 SELECT c.c_custkey, c.c_name, o.n_orders, o.avg_totalprice
 FROM customer c LEFT JOIN (
   SELECT o_custkey, COUNT(*) AS n_orders, {mean('CAST(o_totalprice AS DECIMAL(12,2))')} AS avg_totalprice
-  FROM orders WHERE year(o_orderdate) = 2001 GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
+  FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
 WHERE o.n_orders IS NOT NULL AND o.avg_totalprice IS NOT NULL""",
     "q_income_bounds": f"""
 WITH bands AS (SELECT year, b.income AS income, b.value AS value
                FROM (SELECT year, unnest({band_struct_list()}) AS b
-                     FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
-                     WHERE year >= {BANDS_FROM_YEAR}))
+                     FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)))
 SELECT income, year, {band_lower('value')} AS lower_bound, {band_upper('value')} AS upper_bound FROM bands""",
     "q_income_code": f"""
 WITH bands AS (SELECT year, b.income AS income, b.value AS value
                FROM (SELECT year, unnest({band_struct_list()}) AS b
-                     FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
-                     WHERE year >= {BANDS_FROM_YEAR}))
+                     FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)))
 SELECT income, year, {band_lower('value')} AS lower_bound, {band_upper('value')} AS upper_bound,
        {income_code('income')} AS income_group_id FROM bands""",
     "q_clean_names": "SELECT page_id, replace(trim(url), '/', '') AS clean_url FROM pages",

@@ -7,8 +7,8 @@ downstream is bounded by countries x years x reasons.
 Plan of ``cells`` at scale:
   lineitem --partial agg by l_orderkey--> shuffle(l_orderkey)  (~4x fewer rows)
   orders ---------------------------------> shuffle(o_orderkey)  -> SMJ, left
-  -> shuffle(o_custkey) x customer(c_custkey)  (AQE splits a hot customer;
-     without AQE skew handling, rows are pre-aggregated per customer first)
+  -> partial agg by (customer, year, priority), so that a hot customer is a
+     few rows per task before anything is joined -> x customer(c_custkey)
   -> partial agg by (nation, year, priority) -> tiny final shuffle
 All sums are DECIMAL, so partial aggregation order never changes a result.
 """
@@ -18,9 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalmart.constants import (AGGREGATE_REGION, BANDS_FROM_YEAR, BLANK_CELL,
-                                 INCOME_BAND_TEXTS, INCOME_NAMES, INDICATORS, NAME_MAP,
-                                 OMIT_MORTALITY, REASONS_FROM_YEAR)
+from vitalmart.constants import (AGGREGATE_REGION, INCOME_BAND_TEXTS, INCOME_NAMES, INDICATORS,
+                                 NAME_MAP)
 from vitalmart.functions.stats import MONEY, cents_mean
 from vitalmart.functions.text import bounds_from_parts, income_code, map_names, split_band
 from vitalmart.operators.joins import range_join
@@ -28,12 +27,6 @@ from vitalmart.operators.keys import first_seen_ids, name_ids, with_position
 from vitalmart.sources.tables import table
 
 
-def skew_join_enabled(spark: SparkSession) -> bool:
-    conf = spark.conf
-    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
-
-
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = (table(spark, sf_dir, "lineitem")
           .groupBy("l_orderkey")
@@ -48,13 +41,12 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     ol = (o.join(li, o["o_orderkey"] == li["l_orderkey"], "left")
           .select("o_custkey", "year", "priority", "price", "qty", "lines",
                   F.lit(1).cast("bigint").alias("orders")))
-    if not skew_join_enabled(spark):
-        # without AQE's skew split, a hot customer would land whole in one join
-        # task: pre-aggregate per (customer, year, priority) first, so it
-        # collapses map-side to at most years x priorities rows
-        ol = ol.groupBy("o_custkey", "year", "priority").agg(
-            F.sum("price").alias("price"), F.sum("qty").alias("qty"),
-            F.sum("lines").alias("lines"), F.sum("orders").alias("orders"))
+    # a hot customer would land whole in one join task: aggregated per
+    # (customer, year, priority) first, it collapses map-side to at most
+    # years x priorities rows
+    ol = ol.groupBy("o_custkey", "year", "priority").agg(
+        F.sum("price").alias("price"), F.sum("qty").alias("qty"),
+        F.sum("lines").alias("lines"), F.sum("orders").alias("orders"))
     j = ol.join(c, ol["o_custkey"] == c["c_custkey"], "inner")
     return (j.groupBy(F.col("c_nationkey").alias("nationkey"), "year", "priority")
             .agg(F.sum("qty").alias("sum_qty"),
@@ -140,8 +132,7 @@ def series(cells_df: DataFrame, nat: DataFrame) -> DataFrame:
     ny = ny.join(F.broadcast(nat.select("n_nationkey", "n_name")),
                  ny["nationkey"] == F.col("n_nationkey"))
     name = indicator_side_name(F.col("nationkey"), F.col("n_name")).alias("name")
-    omit = (F.col("nationkey") == OMIT_MORTALITY[0]) & (F.col("year") == OMIT_MORTALITY[1])
-    ind1 = ny.where(~omit).select(name, "year", F.lit(1).alias("indicator_id"),
+    ind1 = ny.select(name, "year", F.lit(1).alias("indicator_id"),
                                   cents_mean("sum_qty", "n_lines").alias("value"))
     ind2 = ny.select(name, "year", F.lit(2).alias("indicator_id"),
                      cents_mean("sum_price", "n_orders").alias("value"))
@@ -167,17 +158,15 @@ def stg_death_reason(cells_df: DataFrame) -> DataFrame:
 
 
 # Long cause values per (country as the cause source spells it, year,
-# reason), from REASONS_FROM_YEAR on; one blank cell per reason
+# reason)
 def reason_values(cells_df: DataFrame, nat: DataFrame) -> DataFrame:
-    blank = (F.col("nationkey") == BLANK_CELL[0]) & (F.col("year") == BLANK_CELL[1])
-    c = cells_df.where(F.col("year") >= REASONS_FROM_YEAR)
-    c = c.join(F.broadcast(nat.select("n_nationkey", "n_name")),
-               c["nationkey"] == F.col("n_nationkey"))
+    c = cells_df.join(F.broadcast(nat.select("n_nationkey", "n_name")),
+                      cells_df["nationkey"] == F.col("n_nationkey"))
     return c.select(
         cause_side_name(F.col("nationkey"), F.col("n_name")).alias("name"),
         F.col("year").cast("int").alias("year"),
         F.col("priority").alias("reason_name"),
-        F.when(~blank, cents_mean("sum_qty", "n_lines")).alias("value_per_reason"))
+        cents_mean("sum_qty", "n_lines").alias("value_per_reason"))
 
 
 # C5 + J3: dictionary-mapped names x under-5 rows on (name, year)
@@ -195,7 +184,7 @@ def stg_indicator_per_country_per_reason(rv: DataFrame, ipc: DataFrame, country:
 
 # S4 + P11/P15 + C1..C8: the band sheet as long text rows per year, parsed
 def band_texts(cells_df: DataFrame) -> DataFrame:
-    years = cells_df.select("year").distinct().where(F.col("year") >= BANDS_FROM_YEAR)
+    years = cells_df.select("year").distinct()
     texts = F.array(*[F.struct(F.lit(lbl).alias("income"), F.lit(txt).alias("value"))
                       for lbl, txt in INCOME_BAND_TEXTS])
     return years.select("year", F.inline(texts))

@@ -103,7 +103,6 @@ def path_exists(path: str) -> bool:
 
 
 TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def input_bytes(spark: SparkSession, paths) -> int:
@@ -125,7 +124,7 @@ def shuffle_partitions_for(spark: SparkSession, paths,
     never fewer than the session's setting; AQE coalesces what is too small."""
     current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     wanted = -(-input_bytes(spark, paths) // target_bytes)
-    return int(min(max(current, wanted), MAX_SHUFFLE_PARTITIONS))
+    return int(max(current, wanted))
 
 
 @contextlib.contextmanager
