@@ -114,3 +114,69 @@ def test_worksheets_run_on_a_landing_root(spark, landing):
     assert all(r.n_violations == 0 for r in QUERIES["q_fk_violations"](spark, landing).collect())
     reasons = {r.reason_desc for r in QUERIES["q_ws_reasons_over_time"](spark, landing).collect()}
     assert reasons == {"Malaria", "Measles", None}
+
+
+def write(root, files):
+    for rel, text in files.items():
+        os.makedirs(os.path.dirname(os.path.join(root, rel)), exist_ok=True)
+        with open(os.path.join(root, rel), "w") as f:
+            f.write(text)
+    return root
+
+
+def cause_rows(spark, root):
+    from vitalmart.plans.landing_files import _cause_values
+    return sorted(((r.reason_name, r["name"], r.year, r.value_per_reason)
+                   for r in _cause_values(spark, root).collect()), key=str)
+
+
+SUB = "sub\nsub\nsub\n"
+
+
+def test_every_cause_file_has_its_own_header(spark, tmp_path):
+    # other year order, a third year, a row-number column, blocks already
+    # numbered, an empty unnamed column, a quoted line break and comma
+    root = write(str(tmp_path), {
+        "WHO/Malaria.csv": ",2017,2017,2017,2016,2016,2016\n" + SUB + "India,1,2,3.5,1,2,3.7\n",
+        "WHO/Measles.csv": ",2016,2016,2016,2017,2017,2017,2015,2015,2015\n" + SUB +
+                           "Czechia,1,2,0.25,1,2,0.5,1,2,0.75\n",
+        "WHO/Mumps.csv": ",Country,2017,2017.1,2017.2,\n" + SUB +
+                         '3,"Korea,\nSouth",1,2,0.1,\n4,India,1,2,,\n'})
+    assert cause_rows(spark, root) == sorted([
+        ("Malaria", "India", 2017, Decimal("3.50")), ("Malaria", "India", 2016, Decimal("3.70")),
+        ("Measles", "Czechia", 2016, Decimal("0.25")), ("Measles", "Czechia", 2017, Decimal("0.50")),
+        ("Measles", "Czechia", 2015, Decimal("0.75")),
+        ("Mumps", "Korea,\nSouth", 2017, Decimal("0.10")), ("Mumps", "India", 2017, None)], key=str)
+
+
+@pytest.mark.parametrize("text", [
+    ",2017,2017,2017,\n" + SUB + "India,1,2,3.5,9\n",          # a value without a year
+    "a,b,c,2017,2017,2017\n" + SUB + "0,x,India,1,2,3.5\n"])   # no one country column
+def test_cause_files_of_another_layout_fail(spark, tmp_path, text):
+    with pytest.raises(Exception, match="Mumps"):
+        cause_rows(spark, write(str(tmp_path), {"WHO/Mumps.csv": text}))
+
+
+def test_notes_with_line_breaks_and_quotes(spark, tmp_path):
+    root = write(str(tmp_path), FILES | {
+        "WDI/Indicator.csv": ',id,name,sourceOrganization,sourceNote\n0,A,a,o,"two\nlines, ""quoted"""\n'
+                             "1,B,b,o,n\n"})
+    got = rows(staging_from_landing(spark, root)["indicator"], "indicator_id", "source_note")
+    assert got == [(1, 'two\nlines, "quoted"'), (2, "n")]
+
+
+def test_a_changed_input_is_seen(spark, tmp_path):
+    from vitalmart.plans.star import mart
+    root = write(str(tmp_path), FILES)
+    before = mart(spark, root).table("indicator_per_country").count()
+    write(root, {"WDI/Gni_per_country.csv": FILES["WDI/Gni_per_country.csv"] + "3,2100,2016,2,1\n"})
+    assert mart(spark, root).table("indicator_per_country").count() == before + 1
+
+
+def test_remote_folders_are_fingerprinted(spark, tmp_path):
+    from vitalmart.plans.star import _inputs_tag
+    root = write(str(tmp_path), FILES)
+    first = _inputs_tag(spark, f"file://{root}", True)
+    assert first == _inputs_tag(spark, f"file://{root}", True)
+    write(root, {"WHO/Malaria.csv": FILES["WHO/Malaria.csv"] + "Peru,1,2,9.5,1,2,9.7\n"})
+    assert first != _inputs_tag(spark, f"file://{root}", True)

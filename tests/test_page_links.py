@@ -45,3 +45,20 @@ def test_links_match_an_html_parser(spark):
         want.update((int(pid), h) for h in p.links)
     got = Counter((r.page_id, r.href) for r in page_links(spark, SF001).collect())
     assert got == want and sum(got.values()) > 0
+
+
+def test_links_of_hand_made_pages(spark):
+    from vitalmart.plans.landing import item_links
+    pages = [
+        ("<ul><li>text <b>x</b> <a href='/a'>a</a> <a href='/b'>b</a></li></ul>", ["/a"]),
+        ('<UL CLASS="x>y"><LI><A ID=1 HREF="/c">c</A><LI><a href=/d>d</a></UL>', ["/c", "/d"]),
+        ('<ol><li><a href="/e">e</a></li></ol><link href="/f"><a href="/g">g</a>', []),
+        ('<ul><li><link href="/h"><abbr>i</abbr></li><li><a name="n">n</a><a href="/j">j</a></ul>', []),
+        ('<ul><li><a href="/?a=1&amp;b=&quot;2&quot;">k</a></li></ul>', ['/?a=1&b="2"']),
+        ('<ul><li><ul><li><a data-href="/l" href="/m">m</a></li></ul></li><li><a href="/n">n</a></li></ul>',
+         ["/m", "/n"]),
+        ('<!-- <ul><li><a href="/o">o</a> --><script>"<ul><li><a href=\'/p\'>"</script>', []),
+        ("", []), (None, None)]
+    df = spark.createDataFrame(list(enumerate(h for h, _ in pages)), "i int, html string")
+    got = {r.i: r.links for r in df.select("i", item_links("html").alias("links")).collect()}
+    assert [got[i] for i in range(len(pages))] == [want for _, want in pages]

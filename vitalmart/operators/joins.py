@@ -19,18 +19,19 @@ def natural_join(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
 
 
 # Value into [lower, upper] of the bands of the same year. The year
-# equality keeps it a hash join with the range test as a residual. Bands are
-# small by construction (bands x years) and are broadcast. When the band
-# table is not broadcastable, joining on the year alone would send all values
-# of a year to one task, so both sides get a value bucket: each band is
+# equality keeps it an equi-join with the range test as a residual.
+# ``broadcast_bands``: None leaves the strategy to the measured size of the
+# bands, True is for bands of a known bound. Where bands are large, joining on
+# the year alone would send all values of a year to one task: with False both
+# sides get a value bucket: each band is
 # repeated for the buckets it covers and the join is on (year, bucket), with
 # the range still checked as a residual (a value meets every covering band
 # exactly once, in its own bucket).
 def range_join(values: DataFrame, bands: DataFrame, year: str, value: str,
                lower: str, upper: str, how: str = "inner",
-               broadcast_bands: bool = True, bucket_width: float | None = None) -> DataFrame:
-    if broadcast_bands:
-        b = F.broadcast(bands)
+               broadcast_bands: bool | None = True, bucket_width: float | None = None) -> DataFrame:
+    if broadcast_bands or broadcast_bands is None:
+        b = F.broadcast(bands) if broadcast_bands else bands
         cond = (values[year] == b[year]) & values[value].between(b[lower], b[upper])
         return values.join(b, cond, how)
     if not bucket_width:

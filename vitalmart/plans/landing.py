@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalmart.constants import SHEET_HEADER
@@ -46,18 +46,18 @@ def series(spark, sf_dir, indicator_id: int = 2) -> DataFrame:
     m = mart(spark, sf_dir)
     ipc = m.table("indicator_per_country").where(F.col("indicator_id") == indicator_id)
     c = m.table("country")
-    return (ipc.join(F.broadcast(c), "country_id")
+    return (ipc.join(c, "country_id")
             .select(F.col("country_name").alias("name"), "year", "value"))
 
 
-# J2 + W3 + P5: series x countries by name, then a 1-based row id
+# J2 + W3 + P5: both series x countries by name, then a 1-based row id
 def row_ids(spark, sf_dir) -> DataFrame:
     m = mart(spark, sf_dir)
-    s = m.table("indicator_per_country").where(F.col("indicator_id") == 2).select(
-        "country_id", "year", "value")
+    s = m.table("indicator_per_country").select("country_id", "indicator_id", "year", "value")
     names = m.table("country").select("country_id", F.col("country_name").alias("name"))
-    j = s.join(F.broadcast(names), "country_id").drop("country_id")
-    return with_position(j, ["name", "year"], "row_id").select("row_id", "name", "year", "value")
+    j = s.join(names, "country_id").drop("country_id")
+    return with_position(j, ["indicator_id", "name", "year"], "row_id").select(
+        "row_id", "indicator_id", "name", "year", "value")
 
 
 def stg_indicator(spark, sf_dir) -> DataFrame:
@@ -215,7 +215,7 @@ def income_codes(spark, sf_dir) -> DataFrame:
 def income_group_country(spark, sf_dir) -> DataFrame:
     m = mart(spark, sf_dir)
     igc, igy = m.table("income_group_country"), m.table("income_group_year")
-    return igc.join(F.broadcast(igy), "income_group_year_id").select(
+    return igc.join(igy, "income_group_year_id").select(
         "country_id", "year", "income_group_name", "lower_bound", "upper_bound")
 
 
@@ -224,8 +224,8 @@ def income_by_year(spark, sf_dir) -> DataFrame:
     m = mart(spark, sf_dir)
     igc, igy, ing = (m.table("income_group_country"), m.table("income_group_year"),
                      m.table("income_group"))
-    return (igc.join(F.broadcast(igy), "income_group_year_id")
-            .join(F.broadcast(ing), "income_group_id")
+    return (igc.join(igy, "income_group_year_id")
+            .join(ing, "income_group_id")
             .select("country_id", "income_name", "year"))
 
 
@@ -258,14 +258,48 @@ def key_prefix(spark, sf_dir, prefix: str = "src1") -> DataFrame:
                     ).where(F.col("name").isNotNull())
 
 
-# Ul > li > first a > href, over stored pages (0 links -> no row)
-LINK_PATTERN = r'<li[^>]*>\s*<a\s[^>]*href="([^"]*)"'
+# Ul > li > first a > href, over stored pages (0 links -> no row). The
+# tags of a page pass in order through a fold that knows how deep in lists it
+# is and whether the current item still waits for its first link.
+NO_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+LIST_TAG = r"""(?is)</?(?:ul|li|a)(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+HREF = r"""(?is)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
+
+
+def _link_fold(state, tag):
+    name = F.lower(F.regexp_extract(tag, r"^</?([A-Za-z]+)", 1))
+    ends = tag.startswith("</")
+    depth, waits, links = state["depth"], state["waits"], state["links"]
+    link = (name == "a") & ~ends
+    return F.struct(
+        F.when((name == "ul") & ends, F.greatest(depth - 1, F.lit(0)))
+        .when(name == "ul", depth + 1).otherwise(depth).alias("depth"),
+        F.when(link | ((name == "li") & ends), F.lit(False))
+        .when((name == "li") & (depth > 0), F.lit(True)).otherwise(waits).alias("waits"),
+        F.when(link & waits & F.regexp_like(tag, F.lit(HREF)),
+               F.concat(links, F.array(F.regexp_extract(tag, HREF, 1))))
+        .otherwise(links).alias("links"))
+
+
+def item_links(html) -> Column:
+    """Array of the first link of every list item, in page order; tags and
+    attributes in any case, either quote or none, basic entities decoded."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("waits"),
+                     F.array().cast("array<string>").alias("links"))
+    tags = F.regexp_extract_all(F.regexp_replace(html, NO_MARKUP, ""), F.lit(LIST_TAG), F.lit(0))
+    hrefs = F.aggregate(tags, start, _link_fold)["links"]
+
+    def text(href):
+        href = F.regexp_replace(href, r"""^["']|["']$""", "")
+        for entity, char in ENTITIES.items():
+            href = F.replace(href, F.lit(entity), F.lit(char))
+        return href
+    return F.transform(hrefs, text)
 
 
 def page_links(spark, sf_dir) -> DataFrame:
-    p = _t(spark, sf_dir, "pages").select("page_id", "html")
-    return p.select("page_id", F.explode(F.regexp_extract_all(
-        "html", F.lit(LINK_PATTERN), 1)).alias("href"))
+    return _t(spark, sf_dir, "pages").select("page_id", F.explode(item_links("html")).alias("href"))
 
 
 # --- reshape of the cause tables ------------------------------------------
@@ -279,7 +313,7 @@ def cause_files(spark, sf_dir) -> DataFrame:
     m = mart(spark, sf_dir)
     rv = _reason_values(spark, sf_dir)
     cells = m.table("cells")
-    other = cells.join(F.broadcast(st.nations(spark, sf_dir).select("n_nationkey", "n_name")),
+    other = cells.join(st.nations(spark, sf_dir).select("n_nationkey", "n_name"),
                        cells["nationkey"] == F.col("n_nationkey")).select(
         st.cause_side_name(F.col("nationkey"), F.col("n_name")).alias("name"),
         F.col("year").cast("int").alias("year"), F.col("priority").alias("reason_name"),
@@ -353,7 +387,7 @@ def cause_file_union(spark, sf_dir) -> DataFrame:
                 ["reason_name", "name"], [F.col(f"`{c}`") for c in block], "year_label",
                 "value_text")
     ids = name_ids(files.select("reason_name"), "reason_name", "reason_id")
-    return long.join(F.broadcast(ids), "reason_name").select(
+    return long.join(ids, "reason_name").select(
         F.col("reason_id").cast("int"), "reason_name", map_names("name").alias("name"),
         year_from_label("year_label").alias("year"),
         F.col("value_text").try_cast("decimal(10,2)").alias("value_per_reason"))
@@ -366,11 +400,12 @@ def natural_join_q(spark, sf_dir) -> DataFrame:
     return natural_join(rv, u5)
 
 
-# Append frames with different columns; the missing side is NULL
-def union_missing(spark, sf_dir, first: str = "1-URGENT", second: str = "2-HIGH") -> DataFrame:
+# Append frames with different columns; the missing side is NULL. The
+# first cause keeps its year column, every other cause brings it as level_1.
+def union_missing(spark, sf_dir, first: str = "1-URGENT") -> DataFrame:
     rv = _reason_values(spark, sf_dir)
     a = rv.where(F.col("reason_name") == first).select("name", "year", "value_per_reason")
-    b = rv.where(F.col("reason_name") == second).select(
+    b = rv.where(~F.col("reason_name").eqNullSafe(first)).select(
         "name", F.col("year").alias("level_1"), "value_per_reason")
     return a.unionByName(b, allowMissingColumns=True)
 

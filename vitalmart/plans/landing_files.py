@@ -7,8 +7,8 @@
     <root>/WDI/Under5_per_country.csv  ,value,year,indicator,index_country,name
     <root>/WDI/Gni_per_country.csv     ,value,year,indicator,index_country
     <root>/WDI/Income_boundaries.csv   ,income,year,lower_bound,upper_bound
-    <root>/WHO/<cause>.csv             country, then Y, Y, Y per year (blocks
-                                       .0/.1/.2 after de-duplication), three
+    <root>/WHO/<cause>.csv             maybe a row number, then the country, then
+                                       Y, Y, Y per year (or Y, Y.1, Y.2), three
                                        sub-header rows, then one row per country
 
 Every WDI file starts with an unnamed row-number column (the position the
@@ -23,25 +23,25 @@ star, the views and every worksheet run on it unchanged:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vitalmart.functions.stats import METRIC
-from vitalmart.functions.text import income_code, map_names, year_from_label
+from vitalmart.functions.text import income_code, map_names
 from vitalmart.operators.keys import name_ids, with_position
-from vitalmart.operators.reshape import dedupe_headers, melt
 from vitalmart.plans import staging as st
 from vitalmart.plans import star as sr
-from vitalmart.sources.tables import file_stem
+from vitalmart.sources.tables import file_stem, read_csv, read_grid
 
 CAUSE_SUB_HEADER_ROWS = 3      # rows after the header row that are not data
-AGE_BLOCK = ".2"               # the ages 0-4 block of each year
+AGE_BLOCK = 2                  # the ages 0-4 block of each year (Y, Y.1, Y.2)
+YEAR_LABEL = r"^(\d{4})(?:\.(\d+))?$"
 
 
 def _wdi(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One WDI file; the leading unnamed column is the writer's row number."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(
-        f"{root.rstrip('/')}/WDI/{name}.csv")
+    df = read_csv(spark, f"{root.rstrip('/')}/WDI/{name}.csv", multi_line=True)
     return df.withColumnRenamed("_c0", "_row").withColumn("_row", F.col("_row").cast("long"))
 
 
@@ -88,7 +88,7 @@ def staging_from_landing(spark: SparkSession, root: str) -> dict[str, DataFrame]
     # under-5 rows
     ipcr = (causes.withColumn("name", map_names("name"))
             .join(u5_keys, ["name", "year"])
-            .join(F.broadcast(death_reason), "reason_name")
+            .join(death_reason, "reason_name")
             .select("value_per_reason", F.col("death_reason_id").alias("reason_id"),
                     "indicator_per_country_id"))
 
@@ -107,29 +107,58 @@ def staging_from_landing(spark: SparkSession, root: str) -> dict[str, DataFrame]
             "income_group_year": igy, "income_group_country": igc}
 
 
+def _cause_layout(rows: DataFrame) -> DataFrame:
+    """Per cause file, from its first row: where it starts, which column holds
+    the country (the one before the first year) and the used column per year."""
+    h = F.col("_header")
+    label = lambda x: F.trim(F.coalesce(x, F.lit("")))
+    year = lambda x: F.regexp_extract(label(x), YEAR_LABEL, 1).try_cast("int")
+
+    def column(x, i):
+        # A repeated year counts its occurrences; a written suffix is the count
+        nth = F.size(F.filter(F.slice(h, 1, i), lambda y: label(y) == label(x)))
+        suffix = F.regexp_extract(label(x), YEAR_LABEL, 2).try_cast("int")
+        return F.struct(i.alias("pos"), year(x).alias("year"),   # i counts from 0
+                        F.coalesce(suffix, nth).alias("block"))
+
+    first = rows.groupBy("reason_name").agg(F.min("_mid").alias("_start"),
+                                            F.min_by("_cells", "_mid").alias("_header"))
+    cols = first.withColumn("_cols", F.transform(h, column))
+    dated = F.filter("_cols", lambda c: c["year"].isNotNull())
+    name_pos = F.try_element_at(dated, F.lit(1))["pos"] - 1
+    return cols.select(
+        "reason_name", "_start",
+        F.when(name_pos.between(0, 1), name_pos).otherwise(F.raise_error(F.concat(
+            F.lit("no country column before the years of "), "reason_name"))).alias("_name_pos"),
+        F.filter(dated, lambda c: c["block"] == AGE_BLOCK).alias("_used"),
+        F.filter("_cols", lambda c: c["year"].isNull() & (c["pos"] > name_pos)).alias("_other"))
+
+
 def _cause_values(spark: SparkSession, root: str) -> DataFrame:
     """All cause files in one scan -> (reason_name, name, year, value_per_reason).
 
-    The files share one header layout (the same years), as the scraped cause
-    tables do; the header of one file names the columns of all.
+    Every file is read by its own header: the years may differ and come in any
+    order, and a leading row-number column may be there or not. A value in a
+    column without a year is an error.
     """
-    raw = (spark.read.option("header", False).csv(f"{root.rstrip('/')}/WHO/*.csv")
-           .withColumn("reason_name", file_stem(F.col("_metadata.file_name")))
-           .withColumn("_mid", F.monotonically_increasing_id()))
-    # row number inside each file (files are small: one group per cause file)
-    per_file = Window.partitionBy("reason_name")
-    raw = raw.withColumn("_line", F.col("_mid") - F.min("_mid").over(per_file)).drop("_mid")
-    data_cols = [c for c in raw.columns if c.startswith("_c")]
-    # P11 + P13: the header row names the columns; repeated years get .1/.2
-    header = raw.where(F.col("_line") == 0).limit(1).collect()[0]
-    names = dedupe_headers([header[c] or "name" for c in data_cols])
-    body = raw.where(F.col("_line") > CAUSE_SUB_HEADER_ROWS)      # P12: skip sub-headers
-    block = [(c, n) for c, n in zip(data_cols, names) if n.endswith(AGE_BLOCK)]
-    wide = body.select("reason_name", F.col(data_cols[0]).alias("name"),
-                       *[F.col(c).alias(n) for c, n in block])
-    long = melt(wide, ["reason_name", "name"], [F.col(f"`{n}`") for _, n in block],
-                "year_label", "value_text")
-    return long.select("reason_name", "name", year_from_label("year_label").alias("year"),
+    path = f"{root.rstrip('/')}/WHO/*.csv"
+    # the widest line bounds the scan's columns (quoted commas only add to it)
+    width = spark.read.text(path).agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
+    names = [f"_c{i}" for i in range(width)]
+    # a multi-line scan reads a file as one piece, so row ids follow its lines
+    rows = read_grid(spark, path, StructType([StructField(n, StringType()) for n in names])).select(
+        file_stem(F.col("_metadata.file_name")).alias("reason_name"),
+        F.array(*names).alias("_cells"), F.monotonically_increasing_id().alias("_mid"))
+    body = (rows.join(_cause_layout(rows), "reason_name")
+            .where(F.col("_mid") - F.col("_start") > CAUSE_SUB_HEADER_ROWS))   # P12
+    cell = lambda c: F.get("_cells", c["pos"])
+    checked = F.when(F.exists("_other", lambda c: cell(c).isNotNull()), F.raise_error(F.concat(
+        F.lit("a value in a column without a year in "), "reason_name"))).otherwise(
+        F.get("_cells", F.col("_name_pos")))
+    # One row per country and year, missing values kept
+    long = body.select("reason_name", checked.alias("name"), F.inline(F.transform(
+        "_used", lambda c: F.struct(c["year"].alias("year"), cell(c).alias("value_text")))))
+    return long.select("reason_name", "name", "year",
                        F.col("value_text").try_cast(METRIC).alias("value_per_reason"))
 
 
@@ -146,10 +175,9 @@ def star_from_staging(spark: SparkSession, s: dict[str, DataFrame]) -> dict[str,
                                  s["income_group"])
     dim_reason = sr.dim_reason(s["death_reason"], s["indicator_per_country_per_reason"],
                                s["indicator_per_country"])
-    fact_metrics = sr.fact_metrics(s["indicator_per_country"], s["indicator"], s["country"],
-                                   dim_country)
+    fact_metrics = sr.fact_metrics(s["indicator_per_country"], s["indicator"], dim_country)
     fact_reasons = sr.fact_reasons(s["indicator_per_country"],
-                                   s["indicator_per_country_per_reason"], s["country"],
+                                   s["indicator_per_country_per_reason"],
                                    dim_reason, dim_country, fact_metrics)
     return {"dim_date": dim_date, "dim_country": dim_country, "dim_reason": dim_reason,
             "fact_metrics": fact_metrics, "fact_metric_death_reasons": fact_reasons,

@@ -147,46 +147,46 @@ dim_date AS (
          CASE WHEN year >= 1960 AND year < 2030 THEN CAST(year - (year % 10) AS VARCHAR) END AS date_tens
   FROM ipc
   UNION ALL SELECT -1, {q(NO_DATE)}, {q(NO_DATE)}),
+income_of AS (
+  SELECT igc.country_id, igy.year, max(income_group.income_name) AS income_name
+  FROM igc JOIN igy USING (income_group_year_id) JOIN income_group USING (income_group_id)
+  GROUP BY igc.country_id, igy.year, income_group.income_group_id),
 dim_country AS (
-  SELECT CAST(row_number() OVER (ORDER BY cid NULLS FIRST, date_year NULLS FIRST,
+  SELECT CAST(row_number() OVER (ORDER BY id NULLS FIRST, date_year NULLS FIRST,
                                  income_name NULLS FIRST) AS INTEGER) AS country_key,
-         CAST(cid AS VARCHAR) AS country_id, country_name, region_name,
-         CAST(date_year AS INTEGER) AS date_year, income_name
-  FROM (SELECT DISTINCT cty.country_id AS cid, cty.country_name, reg.region_name, ipc.year AS date_year,
-               COALESCE(ti.income_name, {q(NO_INCOME)}) AS income_name
-        FROM stg_country cty
-        LEFT JOIN stg_region reg ON cty.region_id = reg.region_id
-        LEFT JOIN ipc ON cty.country_id = ipc.country_id AND ipc.indicator_id = 1
-        LEFT JOIN (SELECT igc.country_id, ing.income_name, igy.year FROM igc
-                   JOIN igy ON igc.income_group_year_id = igy.income_group_year_id
-                   JOIN income_group ing ON igy.income_group_id = ing.income_group_id) ti
-          ON ipc.year = ti.year AND cty.country_id = ti.country_id)),
+         CAST(id AS VARCHAR) AS country_id, country_name,
+         (SELECT r.region_name FROM stg_region r WHERE r.region_id = s.region_id) AS region_name,
+         date_year, income_name
+  FROM (SELECT k.country_id AS id, k.country_name, k.region_id, u5.year AS date_year,
+               COALESCE(i.income_name, {q(NO_INCOME)}) AS income_name
+        FROM u5 JOIN stg_country k ON k.country_name = u5.name
+        LEFT JOIN income_of i ON i.country_id = k.country_id AND i.year = u5.year
+        UNION ALL
+        SELECT k.country_id, k.country_name, k.region_id, NULL, {q(NO_INCOME)}
+        FROM stg_country k WHERE k.country_name NOT IN (SELECT name FROM u5)) s),
 dim_reason AS (
-  SELECT CAST(row_number() OVER (ORDER BY rid NULLS FIRST, date_year DESC NULLS LAST,
-                                 reason_desc NULLS FIRST) AS INTEGER) AS reason_key,
-         CAST(rid AS VARCHAR) AS reason_id, reason_desc, CAST(date_year AS INTEGER) AS date_year
-  FROM (SELECT DISTINCT b.reason_id AS rid, a.reason_name AS reason_desc, c.year AS date_year
-        FROM death_reason a
-        LEFT JOIN ipcr b ON b.reason_id = a.death_reason_id
-        LEFT JOIN ipc c ON c.indicator_per_country_id = b.indicator_per_country_id)),
+  SELECT CAST(row_number() OVER (ORDER BY death_reason_id, date_year DESC) AS INTEGER) AS reason_key,
+         CAST(death_reason_id AS VARCHAR) AS reason_id, reason_name AS reason_desc, date_year
+  FROM death_reason CROSS JOIN (SELECT DISTINCT year AS date_year FROM u5)
+  WHERE (death_reason_id, date_year) IN
+        (SELECT (x.reason_id, u5.year) FROM ipcr x JOIN u5 USING (indicator_per_country_id))),
+-- one metric per staged value (and snapshot of its country in that year);
+-- a cause value's metrics are those of the staged value it hangs on
+metric_rows AS (
+  SELECT CAST(row_number() OVER (ORDER BY p.indicator_per_country_id, s.country_key NULLS FIRST) AS INTEGER)
+           AS metric_id, p.*, s.country_key
+  FROM ipc p LEFT JOIN dim_country s ON s.date_year = p.year AND TRY_CAST(s.country_id AS INTEGER) = p.country_id),
 fact_metrics AS (
-  SELECT CAST(row_number() OVER (ORDER BY a.indicator_per_country_id, f.country_key NULLS FIRST) AS INTEGER)
-           AS metric_id, h.indicator_name, a.value AS indicator_metric,
-         CAST(a.year AS INTEGER) AS date_year, f.country_key
-  FROM ipc a LEFT JOIN indicator h ON h.indicator_id = a.indicator_id
-  LEFT JOIN stg_country e ON a.country_id = e.country_id
-  LEFT JOIN dim_country f ON f.country_id = CAST(e.country_id AS VARCHAR) AND f.date_year = a.year),
+  SELECT metric_id, (SELECT i.indicator_name FROM indicator i WHERE i.indicator_id = m.indicator_id)
+           AS indicator_name, value AS indicator_metric, year AS date_year, country_key
+  FROM metric_rows m),
 fact_reasons AS (
   SELECT CAST(row_number() OVER (ORDER BY metric_id, reason_key, death_reason_metric NULLS FIRST) AS INTEGER)
-           AS death_metric_id, metric_id, reason_key, death_reason_metric, date_year
-  FROM (SELECT DISTINCT f.metric_id, d.reason_key, b.value_per_reason AS death_reason_metric, f.date_year
-        FROM ipc a
-        JOIN ipcr b ON a.indicator_per_country_id = b.indicator_per_country_id
-        JOIN stg_country c ON a.country_id = c.country_id
-        JOIN dim_reason d ON d.reason_id = CAST(b.reason_id AS VARCHAR) AND d.date_year = a.year
-        JOIN dim_country e ON CAST(c.country_id AS VARCHAR) = e.country_id AND e.date_year = a.year
-        JOIN fact_metrics f ON e.country_key = f.country_key AND e.date_year = f.date_year
-        WHERE f.indicator_name = {q(MORTALITY)})),
+           AS death_metric_id, *
+  FROM (SELECT m.metric_id, s.reason_key, x.value_per_reason AS death_reason_metric, m.year AS date_year
+        FROM ipcr x JOIN metric_rows m USING (indicator_per_country_id)
+        JOIN dim_reason s ON s.reason_id = CAST(x.reason_id AS VARCHAR) AND s.date_year = m.year
+        GROUP BY ALL)),
 v1 AS (
   SELECT {VIEW_COLS}
   FROM fact_metrics fm
@@ -215,7 +215,6 @@ REGIONS_SQL = "('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')"
 REASON_RANGE_SQL = "lower(reason_desc) BETWEEN '2-high' AND '4-not specified'"
 INCOME_RANGE_SQL = ("(lower(income_name) BETWEEN 'high income' AND 'lower middle income' "
                     "OR income_name IN ('Upper middle income'))")
-LINK_PATTERN_SQL = r"""'<li[^>]*>\s*<a\s[^>]*href="([^"]*)"'"""
 
 TPCH_COLS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6,
              "lineitem": 11}
@@ -424,9 +423,9 @@ JOIN stg_region g ON c.region_id = g.region_id WHERE g.region_name IS DISTINCT F
 SELECT c.country_name AS name, ipc.year, ipc.value FROM ipc JOIN stg_country c ON ipc.country_id = c.country_id
 WHERE ipc.indicator_id = 2"""),
     "q_row_ids": with_prelude("""
-SELECT CAST(row_number() OVER (ORDER BY c.country_name, ipc.year) AS BIGINT) AS row_id,
-       c.country_name AS name, ipc.year, ipc.value
-FROM ipc JOIN stg_country c ON ipc.country_id = c.country_id WHERE ipc.indicator_id = 2"""),
+SELECT CAST(row_number() OVER (ORDER BY ipc.indicator_id, c.country_name, ipc.year) AS BIGINT) AS row_id,
+       ipc.indicator_id, c.country_name AS name, ipc.year, ipc.value
+FROM ipc JOIN stg_country c ON ipc.country_id = c.country_id"""),
     "q_name_map": with_prelude(f"""
 SELECT DISTINCT name AS source_name, {map_names('name')} AS mapped_name FROM rv"""),
     "q_melt_causes": with_prelude(_cause_long().replace("\ncauses_long", ", causes_long", 1) + f"""
@@ -446,7 +445,7 @@ JOIN u5 ON rv.name IS NOT DISTINCT FROM u5.name AND rv.year IS NOT DISTINCT FROM
     "q_union_missing": with_prelude("""
 SELECT name, year, value_per_reason FROM rv WHERE reason_name = '1-URGENT'
 UNION ALL BY NAME
-SELECT name, year AS level_1, value_per_reason FROM rv WHERE reason_name = '2-HIGH'"""),
+SELECT name, year AS level_1, value_per_reason FROM rv WHERE reason_name <> '1-URGENT'"""),
     # --- plain table queries (no prelude needed) ---
     "q_file_ids": """
 SELECT CAST(row_number() OVER (ORDER BY reason_name) AS INTEGER) AS death_reason_id, reason_name
@@ -496,6 +495,12 @@ SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE sqrt(c_acctbal) END AS
 SELECT doc_id, object_key, replace(substr(object_key, 6), '.csv', '') AS name
 FROM (SELECT doc_id, source || '/' || CAST(doc_id AS VARCHAR) || '.csv' AS object_key FROM documents)
 WHERE substr(object_key, 1, 4) = 'src1' AND substr(object_key, 6) <> ''""",
-    "q_page_links": f"""
-SELECT page_id, unnest(regexp_extract_all(html, {LINK_PATTERN_SQL}, 1)) AS href FROM pages""",
+    # lists cut out of the page, items out of the lists, then each item's first link
+    "q_page_links": r"""
+SELECT page_id, regexp_extract(link, '(?is)\shref\s*=\s*"([^"]*)"', 1) AS href
+FROM (SELECT page_id, regexp_extract(item, '(?is)<a\s[^>]*>') AS link
+      FROM (SELECT page_id, unnest(regexp_split_to_array(body, '(?i)<li\b')[2:]) AS item
+            FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<ul\b.*?</ul>')) AS body
+                  FROM pages)))
+WHERE regexp_matches(link, '(?is)\shref\s*=')""",
 }

@@ -15,7 +15,7 @@ def _mortality_by_country(spark, sf_dir) -> DataFrame:
     m = mart(spark, sf_dir)
     fm = m.table("fact_metrics").where(F.col("indicator_name") == MORTALITY)
     dc = m.table("dim_country")
-    return fm.join(F.broadcast(dc), ["country_key", "date_year"]).select(
+    return fm.join(dc, ["country_key", "date_year"]).select(
         "country_name", "region_name", "income_name", "date_year", "indicator_metric")
 
 
@@ -65,7 +65,7 @@ def corr_income(spark, sf_dir) -> DataFrame:
     gni = fm.where(F.col("indicator_name") == GNI).select(
         "country_key", "date_year", F.col("indicator_metric").cast("double").alias("gni"))
     dc = m.table("dim_country").select("country_key", "region_name")
-    pairs = mort.join(gni, ["country_key", "date_year"]).join(F.broadcast(dc), "country_key")
+    pairs = mort.join(gni, ["country_key", "date_year"]).join(dc, "country_key")
     return pairs.groupBy("region_name").agg(
         F.count(F.lit(1)).alias("n_pairs"),
         F.round(F.corr("rate", "gni"), 6).alias("corr_rate_gni"))

@@ -56,10 +56,10 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation x region names; both are dimension tables (bounded) -> broadcast."""
+    """nation x region names."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select(
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
         "n_nationkey", "n_name", "n_regionkey", "r_name")
 
 
@@ -92,7 +92,7 @@ def stg_country(nat: DataFrame, region: DataFrame, drop_region: str | None = Non
     c = nat
     if drop_region is not None:
         c = c.where(~F.col("r_name").eqNullSafe(drop_region))
-    c = c.join(F.broadcast(region), F.trim(c["r_name"]) == region["region_name"], "inner")
+    c = c.join(region, F.trim(c["r_name"]) == region["region_name"], "inner")
     k = F.col("n_nationkey")
     return c.select(
         (k + 1).cast("int").alias("country_id"),
@@ -129,7 +129,7 @@ def nation_years(cells_df: DataFrame) -> DataFrame:
 # series source names countries), one table, ids 1 and 2
 def series(cells_df: DataFrame, nat: DataFrame) -> DataFrame:
     ny = nation_years(cells_df)
-    ny = ny.join(F.broadcast(nat.select("n_nationkey", "n_name")),
+    ny = ny.join(nat.select("n_nationkey", "n_name"),
                  ny["nationkey"] == F.col("n_nationkey"))
     name = indicator_side_name(F.col("nationkey"), F.col("n_name")).alias("name")
     ind1 = ny.select(name, "year", F.lit(1).alias("indicator_id"),
@@ -143,7 +143,7 @@ def series(cells_df: DataFrame, nat: DataFrame) -> DataFrame:
 # under-5 rows first (the id the cause rows refer to)
 def stg_indicator_per_country(cells_df: DataFrame, nat: DataFrame, country: DataFrame) -> DataFrame:
     s = series(cells_df, nat).join(
-        F.broadcast(country.select("country_id", F.col("country_name").alias("name"))),
+        country.select("country_id", F.col("country_name").alias("name")),
         "name", "inner")
     s = with_position(s, ["indicator_id", "country_id", "year"], "indicator_per_country_id")
     return s.select(F.col("indicator_per_country_id").cast("int"), "value",
@@ -160,7 +160,7 @@ def stg_death_reason(cells_df: DataFrame) -> DataFrame:
 # Long cause values per (country as the cause source spells it, year,
 # reason)
 def reason_values(cells_df: DataFrame, nat: DataFrame) -> DataFrame:
-    c = cells_df.join(F.broadcast(nat.select("n_nationkey", "n_name")),
+    c = cells_df.join(nat.select("n_nationkey", "n_name"),
                       cells_df["nationkey"] == F.col("n_nationkey"))
     return c.select(
         cause_side_name(F.col("nationkey"), F.col("n_name")).alias("name"),
@@ -174,10 +174,10 @@ def stg_indicator_per_country_per_reason(rv: DataFrame, ipc: DataFrame, country:
                                          reasons: DataFrame) -> DataFrame:
     rv = rv.withColumn("name", map_names("name"))
     u5 = (ipc.where(F.col("indicator_id") == 1)
-          .join(F.broadcast(country.select("country_id", F.col("country_name").alias("name"))),
+          .join(country.select("country_id", F.col("country_name").alias("name")),
                 "country_id")
           .select("indicator_per_country_id", "name", "year"))
-    j = rv.join(u5, ["name", "year"], "inner").join(F.broadcast(reasons), "reason_name")
+    j = rv.join(u5, ["name", "year"], "inner").join(reasons, "reason_name")
     return j.select("value_per_reason", F.col("death_reason_id").alias("reason_id"),
                     "indicator_per_country_id")
 
@@ -213,7 +213,8 @@ def stg_income_group_year(cells_df: DataFrame) -> DataFrame:
 # Each GNI value into the band of its year (body of the band procedure)
 def stg_income_group_country(ipc: DataFrame, igy: DataFrame) -> DataFrame:
     gni = ipc.where(F.col("indicator_id") == 2).select("country_id", "year", "value")
-    j = range_join(gni, igy, "year", "value", "lower_bound", "upper_bound")
+    j = range_join(gni, igy, "year", "value", "lower_bound", "upper_bound",
+                   broadcast_bands=None)
     return j.select(gni["country_id"], igy["income_group_year_id"])
 
 

@@ -183,7 +183,7 @@ def ws_region_mortality_unfanned(spark, sf_dir, regions=tuple(REGIONS)) -> DataF
     m = mart(spark, sf_dir)
     fm = m.table("fact_metrics").where(F.col("indicator_name") == MORTALITY)
     dc = m.table("dim_country").where(members("region_name", regions))
-    j = fm.join(F.broadcast(dc), ["country_key", "date_year"])
+    j = fm.join(dc, ["country_key", "date_year"])
     return (j.groupBy("date_year", "region_name")
             .agg(mean("indicator_metric").alias("avg_indicator_metric"))
             .orderBy(manual_order("region_name", REGION_ORDER), "date_year"))

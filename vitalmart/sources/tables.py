@@ -20,10 +20,14 @@ def register_views(spark: SparkSession, sf_dir: str) -> None:
         table(spark, sf_dir, t).createOrReplaceTempView(t)
 
 
-# One headed CSV with a fixed schema (no inference pass over the data)
+# One headed CSV with a fixed schema (no inference pass over the data).
+# Quotes inside a field are doubled. ``multi_line`` takes quoted line breaks;
+# such a file is one task, so it is for lists, not for data-sized files.
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             header: bool = True, sep: str = ",", quote: str = '"') -> DataFrame:
-    r = spark.read.option("header", header).option("sep", sep).option("quote", quote)
+             header: bool = True, sep: str = ",", quote: str = '"',
+             multi_line: bool = False) -> DataFrame:
+    r = (spark.read.option("header", header).option("sep", sep).option("quote", quote)
+         .option("escape", quote).option("multiLine", multi_line))
     if schema is not None:
         r = r.schema(schema)
     return r.csv(path)
@@ -32,7 +36,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
 # Many files in one scan; the file name becomes a column
 def read_csv_files(spark: SparkSession, paths, schema: StructType | None = None,
                    header: bool = True) -> DataFrame:
-    r = spark.read.option("header", header)
+    r = spark.read.option("header", header).option("escape", '"')
     if schema is not None:
         r = r.schema(schema)
     df = r.csv(paths)
@@ -44,9 +48,11 @@ def file_stem(c: Column) -> Column:
     return F.regexp_replace(c, r"\.csv$", "")
 
 
-# A sheet exported as a headerless grid (_c0, _c1, ...)
-def read_grid(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", False).csv(path)
+# A sheet exported as a headerless grid (_c0, _c1, ...); with a schema, a
+# line may be shorter than it, and the file may hold quoted line breaks
+def read_grid(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    r = spark.read.option("header", False).option("escape", '"')
+    return (r.schema(schema).option("multiLine", True) if schema else r).csv(path)
 
 
 # S9: ';'-separated, double-quoted export with a header (quotes doubled inside)

@@ -10,7 +10,8 @@ from pyspark.sql.types import StringType, StructType
 # A frame as CSV (no index column is written: positions, where they
 # matter, are explicit columns)
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> None:
-    df.write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
+    (df.write.mode("overwrite").option("header", header).option("sep", sep)
+     .option("escape", '"').csv(path))
 
 
 # Full-refresh table (CTAS semantics)
