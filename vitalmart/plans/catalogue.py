@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vitalmart.plans import exchange as X
 from vitalmart.plans import landing as L
 from vitalmart.plans import questions as Q
 from vitalmart.plans import worksheets as W
@@ -68,6 +69,12 @@ QUERIES: dict[str, Query] = {
     "q_cause_file_union": L.cause_file_union,
     "q_natural_join": L.natural_join_q,
     "q_union_missing": L.union_missing,
+    # tables through the file formats of the loads
+    "q_country_csv": X.country_csv,
+    "q_reason_export": X.reason_export,
+    "q_appended_series": X.appended_series,
+    "q_declared_fact": X.declared_fact,
+    "q_retyped_year_join": X.retyped_year_join,
     # landing operators over the raw tables
     "q_file_ids": L.file_ids,
     "q_keyword_search": L.keyword_search,

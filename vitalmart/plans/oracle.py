@@ -446,6 +446,18 @@ JOIN u5 ON rv.name IS NOT DISTINCT FROM u5.name AND rv.year IS NOT DISTINCT FROM
 SELECT name, year, value_per_reason FROM rv WHERE reason_name = '1-URGENT'
 UNION ALL BY NAME
 SELECT name, year AS level_1, value_per_reason FROM rv WHERE reason_name <> '1-URGENT'"""),
+    # --- tables through the file formats of the loads ---
+    "q_country_csv": with_prelude("""
+SELECT country_id, country_name, iso2code, iso3Code, region_id FROM stg_country"""),
+    "q_reason_export": with_prelude("""
+SELECT reason_key, reason_id, reason_desc, date_year FROM dim_reason"""),
+    "q_appended_series": with_prelude("""
+SELECT indicator_per_country_id, value, year, indicator_id, country_id FROM ipc"""),
+    "q_declared_fact": with_prelude("""
+SELECT metric_id, indicator_name, indicator_metric, date_year, country_key FROM fact_metrics"""),
+    "q_retyped_year_join": with_prelude("""
+SELECT f.metric_id, f.date_year, make_date(f.date_year, 1, 1) AS year_date, d.date_string, d.date_tens
+FROM fact_metrics f JOIN dim_date d USING (date_year)"""),
     # --- plain table queries (no prelude needed) ---
     "q_file_ids": """
 SELECT CAST(row_number() OVER (ORDER BY reason_name) AS INTEGER) AS death_reason_id, reason_name

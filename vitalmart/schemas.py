@@ -58,6 +58,14 @@ DIM_REASON_EXPORT = StructType([
     StructField("reason_desc", StringType()),
     StructField("date_year", IntegerType()),
 ])
+# The cleaned country list
+COUNTRY = StructType([
+    StructField("country_id", IntegerType()),
+    StructField("country_name", StringType()),
+    StructField("iso2code", StringType()),
+    StructField("iso3Code", StringType()),
+    StructField("region_id", IntegerType()),
+])
 CELLS = StructType([
     StructField("nationkey", IntegerType()),
     StructField("year", IntegerType()),
