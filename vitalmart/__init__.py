@@ -8,7 +8,6 @@ Layers (all DataFrame / Spark SQL, no Python UDFs):
   filters)
 * ``plans``     the pipeline: staging -> star schema -> views -> worksheets,
   plus the query catalogue registered in ``__spark_entry__``
-* ``streaming`` intentionally empty: the modelled pipeline is batch only
 """
 
 __version__ = "0.1.0"

@@ -21,10 +21,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_sum(c) -> Column:
-    return F.sum(_c(c).cast(MONEY))
-
-
 def mean(c) -> Column:
     """AVG with NULLs skipped, as DOUBLE: sum(x) / count(x)."""
     return F.try_divide(F.sum(_c(c)).cast("double"), F.count(_c(c)))

@@ -71,8 +71,3 @@ def first_seen_ids(df: DataFrame, value: str, position: str, name: str = "id") -
 # One id per distinct name in binary (listing) order
 def name_ids(df: DataFrame, value: str, name: str = "id") -> DataFrame:
     return with_position(df.select(value).distinct(), [value], name)
-
-
-# Surrogate key along a natural key
-def surrogate_key(df: DataFrame, order_by, name: str) -> DataFrame:
-    return with_position(df, order_by, name)

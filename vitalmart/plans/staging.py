@@ -216,10 +216,3 @@ def stg_income_group_country(ipc: DataFrame, igy: DataFrame) -> DataFrame:
     j = range_join(gni, igy, "year", "value", "lower_bound", "upper_bound",
                    broadcast_bands=None)
     return j.select(gni["country_id"], igy["income_group_year_id"])
-
-
-def country_source(spark: SparkSession, sf_dir: str,
-                   drop_region: str | None = AGGREGATE_REGION) -> DataFrame:
-    """Country list as the landing file has it (aggregate region removed)."""
-    nat = nations(spark, sf_dir)
-    return stg_country(nat, stg_region(nat), drop_region)

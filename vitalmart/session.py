@@ -89,19 +89,6 @@ def warehouse_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "vitalmart", *([ns] if ns else []), *parts])
 
 
-def local_path(path: str) -> str:
-    """Strip a file: scheme for driver-side checks of local folders."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def path_exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
-
-
 TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
 
 

@@ -15,11 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    for t in TABLES:
-        table(spark, sf_dir, t).createOrReplaceTempView(t)
-
-
 # One headed CSV with a fixed schema (no inference pass over the data).
 # Quotes inside a field are doubled. ``multi_line`` takes quoted line breaks;
 # such a file is one task, so it is for lists, not for data-sized files.
