@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from vitalmart.operators.filters import apply_filters, manual_order, member_range, members
 from vitalmart.operators.joins import fk_violations, natural_join, range_join
-from vitalmart.operators.keys import first_seen_ids, name_ids, with_position
+from vitalmart.operators.keys import first_seen_ids, name_ids, noted_positions, with_position
 from vitalmart.operators.reshape import (dedupe_headers, grid, header_from_first_row, melt,
                                          stack, strip_suffix)
 
@@ -123,3 +123,14 @@ def test_range_join_by_buckets_matches_broadcast(spark):
                    bucket_width=1000).select(vals["year"], "v", "name")
     ra, rb = sorted(map(tuple, a.collect())), sorted(map(tuple, b.collect()))
     assert ra == rb and len(ra) > 400
+
+
+def test_noted_positions_are_those_of_the_innermost_use(spark):
+    df = spark.createDataFrame([(3,), (1,)], "k int")
+    with noted_positions() as outer:
+        with_position(df, ["k"])
+        with noted_positions() as inner:
+            with_position(df, ["k"])
+            with_position(df, ["k"])
+    with_position(df, ["k"])
+    assert (len(outer), len(inner)) == (1, 2) and not set(outer) & set(inner)

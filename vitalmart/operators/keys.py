@@ -16,19 +16,46 @@ must come from one materialisation. Writing (rather than ``checkpoint()``)
 computes the input once, and it cuts the lineage, so a lost executor
 re-reads the table instead of recomputing from the source. The write runs
 when ``with_position`` is called; the returned DataFrame reads the finished
-table. Like checkpoint files, these tables stay in the checkpoint folder.
+table. Within ``noted_positions`` the caller learns which tables were written
+and deletes them (``delete_tables``) once its result is stored; the mart does
+so for every table of its own. Elsewhere they stay, like checkpoint files.
 """
 
 from __future__ import annotations
 
+import contextlib
+import threading
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalmart.session import warehouse_path
 
 
+_noted = threading.local()
+
+
+@contextlib.contextmanager
+def noted_positions() -> Iterator[list[str]]:
+    """The paths that ``with_position`` writes in this thread meanwhile; an
+    inner use has a list of its own."""
+    outer = getattr(_noted, "paths", None)
+    _noted.paths = []
+    try:
+        yield _noted.paths
+    finally:
+        _noted.paths = outer
+
+
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    sc = spark.sparkContext
+    for path in paths:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _order(cols):
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -47,6 +74,8 @@ def with_position(df: DataFrame, order_by, name: str = "pos", start: int = 1,
                  else df.repartitionByRange(*order))
     spark = df.sparkSession
     path = warehouse_path(spark, "positions", uuid.uuid4().hex)
+    if getattr(_noted, "paths", None) is not None:
+        _noted.paths.append(path)
     (ranged_in.sortWithinPartitions(*order)
      .withColumn("_pid", F.spark_partition_id())
      .withColumn("_mid", F.monotonically_increasing_id())

@@ -77,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "q_retyped_year_join": X.retyped_year_join,
     # landing operators over the raw tables
     "q_file_ids": L.file_ids,
+    "q_raw_countries": X.raw_countries,
     "q_keyword_search": L.keyword_search,
     "q_union_indicators": L.union_indicators,
     "q_group_size": L.group_size,

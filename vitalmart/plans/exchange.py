@@ -9,7 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitalmart.constants import AGGREGATE_REGION
 from vitalmart.functions.dates import year_part, year_to_date
+from vitalmart.operators.keys import delete_tables, noted_positions
+from vitalmart.plans import staging as st
+from vitalmart.plans.landing_files import wdi
+from vitalmart.plans.raw import landing_lists
 from vitalmart.plans.star import mart
 from vitalmart.schemas import COUNTRY, DIM_REASON_EXPORT, STAR
 from vitalmart.sources.tables import read_csv, read_export
@@ -67,3 +72,34 @@ def retyped_year_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = m.table("fact_metrics").select("metric_id", "date_year")
     return facts.join(dated, F.col("date_year") == year_part(F.col("year_date"))).select(
         "metric_id", "date_year", "year_date", "date_string", "date_tens")
+
+
+# raw -> landing: the country listing (a nation's income level is its band of
+# the last year) to the three sheets, read back as the load reads them
+def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = mart(spark, sf_dir)
+    sheets = ("Region", "Income_group", "Country")
+    if not all(m.exists(f"raw/WDI/{s}.csv") for s in sheets):
+        bands = m.table("income_group_year").select("income_group_year_id", "income_group_id", "year")
+        last = (m.table("income_group_country").join(bands, "income_group_year_id")
+                .join(m.table("income_group"), "income_group_id")
+                .groupBy("country_id").agg(F.max_by("income_name", "year").alias("incomeLevel")))
+        c = m.table("country").join(m.table("region"), "region_id").join(last, "country_id", "left")
+        listing = c.select(
+            F.col("country_id").alias("position"), F.col("iso3Code").alias("id"),
+            F.col("iso2code").alias("iso2Code"), F.col("country_name").alias("name"),
+            F.col("region_name").alias("region"),
+            F.coalesce("incomeLevel", F.lit("Not classified")).alias("incomeLevel"))
+        with noted_positions() as used:
+            try:
+                for name, sheet in landing_lists(listing, AGGREGATE_REGION).items():
+                    _published(m, f"raw/WDI/{name}.csv",
+                               lambda p, s=sheet: write_csv(s.withColumnRenamed("_row", ""), p))
+            finally:
+                delete_tables(spark, used)
+    root = m.path("raw")
+    return wdi(spark, root, "Country").select(
+        (F.col("_row") + 1).cast("int").alias("country_id"), F.col("name").alias("country_name"),
+        F.col("iso2Code").alias("iso2code"), "iso3Code",
+        F.col("index_region").cast("int").alias("region_id"), F.col("region").alias("region_name"),
+        F.col("index_income").cast("int").alias("income_id"), F.col("incomeLevel").alias("income_name"))

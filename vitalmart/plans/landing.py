@@ -56,8 +56,9 @@ def row_ids(spark, sf_dir) -> DataFrame:
     s = m.table("indicator_per_country").select("country_id", "indicator_id", "year", "value")
     names = m.table("country").select("country_id", F.col("country_name").alias("name"))
     j = s.join(names, "country_id").drop("country_id")
-    return with_position(j, ["indicator_id", "name", "year"], "row_id").select(
-        "row_id", "indicator_id", "name", "year", "value")
+    return m.stored("series_row_ids", lambda: with_position(
+        j, ["indicator_id", "name", "year"], "row_id").select(
+        "row_id", "indicator_id", "name", "year", "value"))
 
 
 def stg_indicator(spark, sf_dir) -> DataFrame:
@@ -71,8 +72,9 @@ def stg_reason_values(spark, sf_dir) -> DataFrame:
 # Ids of the cause names in listing (binary) order
 def file_ids(spark, sf_dir) -> DataFrame:
     pr = _t(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("reason_name"))
-    return name_ids(pr, "reason_name", "death_reason_id").select(
-        F.col("death_reason_id").cast("int"), "reason_name")
+    return mart(spark, sf_dir).stored("priority_ids", lambda: name_ids(
+        pr, "reason_name", "death_reason_id").select(
+        F.col("death_reason_id").cast("int"), "reason_name"))
 
 
 # --- catalogue (part) --------------------------------------------------------
@@ -154,7 +156,8 @@ def position_slice(df: DataFrame, order, start: int, stop: int) -> DataFrame:
 
 def row_slice(spark, sf_dir, start: int = 4, stop: int = 9) -> DataFrame:
     p = _t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    return position_slice(p, ["p_partkey"], start, stop)
+    return mart(spark, sf_dir).stored(
+        f"part_slice_{start}_{stop}", lambda: position_slice(p, ["p_partkey"], start, stop))
 
 
 # both measures present after an outer join

@@ -39,33 +39,33 @@ AGE_BLOCK = 2                  # the ages 0-4 block of each year (Y, Y.1, Y.2)
 YEAR_LABEL = r"^(\d{4})(?:\.(\d+))?$"
 
 
-def _wdi(spark: SparkSession, root: str, name: str) -> DataFrame:
+def wdi(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One WDI file; the leading unnamed column is the writer's row number."""
     df = read_csv(spark, f"{root.rstrip('/')}/WDI/{name}.csv", multi_line=True)
     return df.withColumnRenamed("_c0", "_row").withColumn("_row", F.col("_row").cast("long"))
 
 
 def staging_from_landing(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    region = _wdi(spark, root, "Region").select(
+    region = wdi(spark, root, "Region").select(
         F.col("index_region").cast("int").alias("region_id"),
         F.trim("region").alias("region_name"))
-    income_group = _wdi(spark, root, "Income_group").select(
+    income_group = wdi(spark, root, "Income_group").select(
         F.col("index_income").cast("int").alias("income_group_id"),
         F.col("incomeLevel").alias("income_name"))
     # countries get their auto-increment id in file order (index + 1)
-    country = _wdi(spark, root, "Country").select(
+    country = wdi(spark, root, "Country").select(
         (F.col("_row") + 1).cast("int").alias("country_id"),
         F.col("name").alias("country_name"), F.col("iso2Code").alias("iso2code"),
         F.col("iso3Code"), F.col("index_region").cast("int").alias("region_id"))
-    indicator = _wdi(spark, root, "Indicator").select(
+    indicator = wdi(spark, root, "Indicator").select(
         (F.col("_row") + 1).cast("int").alias("indicator_id"),
         F.col("name").alias("indicator_name"), F.col("id").alias("world_bank_ind_id"),
         F.col("sourceOrganization").alias("source_organization"),
         F.col("sourceNote").alias("source_note"))
 
     # under-5 rows are inserted first, then GNI rows: ids follow that order (T4)
-    u5 = _wdi(spark, root, "Under5_per_country")
-    gni = _wdi(spark, root, "Gni_per_country")
+    u5 = wdi(spark, root, "Under5_per_country")
+    gni = wdi(spark, root, "Gni_per_country")
 
     def series(df: DataFrame, src: int, name) -> DataFrame:
         return df.select(F.lit(src).alias("_src"), "_row", name.alias("name"),
@@ -92,7 +92,7 @@ def staging_from_landing(spark: SparkSession, root: str) -> dict[str, DataFrame]
             .select("value_per_reason", F.col("death_reason_id").alias("reason_id"),
                     "indicator_per_country_id"))
 
-    bounds = _wdi(spark, root, "Income_boundaries")
+    bounds = wdi(spark, root, "Income_boundaries")
     igy = bounds.select(
         (F.col("_row") + 1).cast("int").alias("income_group_year_id"),
         income_code("income").cast("int").alias("income_group_id"),

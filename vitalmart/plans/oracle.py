@@ -458,6 +458,19 @@ SELECT metric_id, indicator_name, indicator_metric, date_year, country_key FROM
     "q_retyped_year_join": with_prelude("""
 SELECT f.metric_id, f.date_year, make_date(f.date_year, 1, 1) AS year_date, d.date_string, d.date_tens
 FROM fact_metrics f JOIN dim_date d USING (date_year)"""),
+    "q_raw_countries": with_prelude(f"""
+, levelled AS (
+  SELECT c.country_id, c.country_name, c.iso2code, c.iso3Code, g.region_name,
+         COALESCE((SELECT arg_max(n.income_name, y.year) FROM igc JOIN igy y USING (income_group_year_id)
+                   JOIN income_group n USING (income_group_id) WHERE igc.country_id = c.country_id),
+                  'Not classified') AS income_name
+  FROM stg_country c JOIN stg_region g USING (region_id)),
+regions AS (SELECT region_name, row_number() OVER (ORDER BY MIN(country_id)) AS region_id FROM levelled GROUP BY 1),
+own AS (SELECT * FROM levelled WHERE region_name IS DISTINCT FROM {q(AGGREGATE_REGION)}),
+levels AS (SELECT income_name, row_number() OVER (ORDER BY MIN(country_id)) AS income_id FROM own GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY own.country_id) AS INTEGER) AS country_id, country_name, iso2code, iso3Code,
+       CAST(region_id AS INTEGER) AS region_id, region_name, CAST(income_id AS INTEGER) AS income_id, income_name
+FROM own JOIN regions USING (region_name) JOIN levels USING (income_name)"""),
     # --- plain table queries (no prelude needed) ---
     "q_file_ids": """
 SELECT CAST(row_number() OVER (ORDER BY reason_name) AS INTEGER) AS death_reason_id, reason_name
