@@ -247,6 +247,22 @@ def test_mixing(docs, none):
     assert mixing.mixed(none).count() == 0
 
 
+def test_mixing_of_sources_without_words(spark):
+    blank = [(1, None, "s0"), (2, "", "s0"), (3, " \n\t", "s0"), (4, "  ", None)]
+    made = [*blank, (5, "one two three", "s1"), (6, "four", "s2")]
+    got = {r.doc_id: r for r in mixing.mixed(spark.createDataFrame(made, "doc_id bigint, text string, source string")).collect()}
+    assert len(got) == len(made)
+    goal = mixing.targets({"s0": 0, None: 0, "s1": 3, "s2": 1})
+    for d, _, s in made:
+        assert abs(got[d].target - goal[s]) < 1e-9
+    for d, _, _ in blank:
+        assert (got[d].size, got[d].source_size, got[d].target, got[d].copies, got[d].taken) == (0, 0, 0, 0, 0)
+    assert got[5].taken + got[6].taken > 0
+    only = spark.createDataFrame(blank, "doc_id bigint, text string, source string")
+    assert [(r.copies, r.taken) for r in mixing.mixed(only).collect()] == [(0, 0)] * len(blank)
+    assert mixing.sampled(only).count() == 0
+
+
 def vectors(n=400):
     rng = np.random.default_rng(9)
     x = rng.standard_normal((n, 16))

@@ -36,8 +36,9 @@ def mixed(docs: DataFrame, weights: tuple = (5, 2, 1), most: int = 3, seed: int
     """Per row of ``docs``: doc_id, source, text_hash, size (words), source_size,
     target (of its source), copies, taken (copies * size).
 
-    Null text: size 0, never taken. Null source: a source of its own, last in
-    order. Repeated rows queue one by one. Empty table: no rows.
+    Null text: size 0, never taken. A source without a word: source_size,
+    target and copies 0. Null source: a source of its own, last in order.
+    Repeated rows queue one by one. Empty table: no rows.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -59,10 +60,11 @@ def mixed(docs: DataFrame, weights: tuple = (5, 2, 1), most: int = 3, seed: int
               .join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name")))
               .withColumn("upto", F.col("size_before") - F.col("begin") + F.col("size"))
               .drop("size_before").withColumnRenamed("one_before", "row"))
-    times = F.greatest(F.lit(1), F.ceil(F.col("target") / F.col("source_size"))).cast("int")
+    # a source without words: size and target 0, one copy of each row, which isn't taken
+    times = F.greatest(F.lit(1), F.ceil(F.try_divide(F.col("target"), F.col("source_size")))).cast("int")
     copies = (queued.withColumn("copy", F.explode(F.sequence(F.lit(1), F.coalesce(times, F.lit(1)))))
-              .withColumn("finish", F.coalesce(((F.col("copy") - 1) * F.col("source_size") + F.col("upto"))
-                                               / F.col("target"), F.lit(0.0)))
+              .withColumn("finish", F.coalesce(F.try_divide((F.col("copy") - 1) * F.col("source_size") + F.col("upto"),
+                                                            F.col("target")), F.lit(0.0)))
               .select("row", "doc_id", "source", "text_hash", "size", "source_size", "target", "copy", "finish"))
     line = running_sums(copies, ["finish", "row", "copy"], ["size"])
     inside = (F.col("size") > 0) & (F.col("size_before") + F.col("size") <= budget)
