@@ -338,3 +338,24 @@ def test_urls(spark):
     for r in got:
         assert abs(r.trust - trust.get(r.host, 0)) < 1e-6
     assert url_graph.judged(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
+def test_verdicts_do_not_depend_on_size(spark):
+    """A graph beside 199 others of its kind; hosts 30 links off; a cycle."""
+    page = lambda to: "".join(f"<a href='//{h}/'>t</a>" * n for h, n in to.items())
+
+    def copy(k):  # a2 is one of 1,001 links to a1, which is one of 1,001 to the blocked x
+        return [(f"http://x{k}.net/es/", ""), (f"http://b{k}.org/", page({f"x{k}.net": 1000, f"a1{k}.org": 1000})),
+                (f"http://a1{k}.org/", page({f"x{k}.net": 1})), (f"http://a2{k}.org/", page({f"a1{k}.org": 1}))]
+
+    far = [(f"http://h{i}.org/", page({f"h{i - 1}.org" if i else "x0.net": 1})) for i in range(30)]
+    cycle = [("http://p.com/", page({"q.org": 1})), ("http://q.org/", page({"r.org": 1})), ("http://r.org/", page({"q.org": 1}))]
+    for copies in (1, 200):
+        made = [(i, *row) for i, row in enumerate([*far, *cycle, *(r for k in range(copies) for r in copy(k))])]
+        got = url_graph.judged(spark.createDataFrame(made, "page_id bigint, url string, html string")).collect()
+        by_host = {r.host: r for r in got}
+        allowed = {h for h, r in by_host.items() if r.verdict == "allow"}
+        assert len(got) == len(made) and allowed == {"p.com", "q.org", "r.org"}
+        # q = 0.85 * (p + r), r = 0.85 * q, to the end
+        q = .85 * .15 / (1 - .85 ** 2)
+        assert abs(by_host["q.org"].trust - q) < 1e-5 * q and abs(by_host["r.org"].trust - .85 * q) < 1e-5 * q

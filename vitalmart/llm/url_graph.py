@@ -4,7 +4,7 @@ Rules decide the urls that they fit. Every other url gets the verdict of its
 host: trust is personalised PageRank over host edges from trusted seeds,
 distrust the same over reversed edges from blocked seeds, so a host that
 links to blocked hosts, over however many steps, gathers distrust. A host
-with more distrust than trust, and with at least ``least`` of it, is blocked.
+with more distrust than trust is blocked.
 
 All of it is DataFrame work; the graph is reduced to one row per pair of
 hosts before anything is iterated.
@@ -20,6 +20,9 @@ from vitalmart.llm.common import saved
 #: (rule, verdict): host, from the first slash on the path.
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
          ("net/es/", "block"), ("net/fr/", "block"))
+#: What is passed on below this ends there: the range of doubles (at 0.85,
+#: some 4,200 undivided links).
+TINY = 1e-300
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
@@ -59,38 +62,38 @@ def host_edges(pages: DataFrame) -> DataFrame:
                     (F.col("n") / F.col("back")).alias("back_share")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, steps: int = 20,
-              settled: float = 1e-6) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, settled: float = 1e-6) -> DataFrame:
     """(kind, host, score) from seeds (kind, host, mass): kind 'trust' flows
     along edges, 'distrust' against them; each step keeps 1 - damping of the
-    seeds and passes damping on. Ends when the summed change of a step is
-    ``settled`` or less, or after ``steps``."""
+    seeds and passes damping on. Ends when no host's score grows by more than
+    ``settled`` of itself, so that no size of the graph or number of seeds
+    stops it early: about 90 steps at 0.85, and as many as the farthest host
+    that is reached is links away."""
     flow = saved(edges.select(F.lit("trust").alias("kind"), F.col("source").alias("host"),
                               F.col("target").alias("to"), F.col("share").alias("w"))
                  .union(edges.select(F.lit("distrust"), "target", "source", "back_share")))
     base = saved(seeds.select("kind", "host", ((1 - damping) * F.col("mass")).alias("score")))
-    score = base
-    for _ in range(steps):
+    score, none = base, F.lit(0.0)
+    while True:
         passed = (score.join(flow, ["kind", "host"])
-                  .select("kind", F.col("to").alias("host"), (damping * F.col("w") * F.col("score")).alias("score")))
-        new = saved(base.union(passed).groupBy("kind", "host").agg(F.sum("score").alias("score")))
-        change = (new.select("kind", "host", "score").union(score.select("kind", "host", -F.col("score")))
-                  .groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("d")).agg(F.sum("d")).first()[0])
-        score = new
-        if (change or 0.0) <= settled:
-            break
-    return score
-
-
-def judged(pages: DataFrame, rules=RULES, damping: float = 0.85, steps: int = 20, majority: float = 0.5,
-           least: float = 1e-9) -> DataFrame:
+                  .select("kind", F.col("to").alias("host"), (damping * F.col("w") * F.col("score")).alias("score"))
+                  .where(F.col("score") > TINY))
+        new = saved(base.union(passed).withColumn("old", none)
+                    .union(score.select("kind", "host", none, "score"))
+                    .groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("old").alias("old")))
+        score = new.select("kind", "host", "score")
+        if new.where(F.col("score") - F.col("old") > settled * F.col("score")).isEmpty():
+            return score
+
+
+def judged(pages: DataFrame, rules=RULES, damping: float = 0.85, majority: float = 0.5) -> DataFrame:
     """Per row of ``pages`` (page_id, url, html): page_id, host, path, rule,
     verdict, trust, distrust.
 
     Seeds: hosts of which more than ``majority`` of the urls are allowed
     (trusted) or blocked (blocked) by a rule, each kind sharing a mass of 1.
-    Urls without a rule: ``block`` where the host's distrust exceeds its trust
-    and is at least ``least``, else ``allow``. Null url or no ``://``: host and
+    Urls without a rule: ``block`` where the host's distrust exceeds its trust,
+    however little it is, else ``allow``. Null url or no ``://``: host and
     path empty, no rule, allowed. Null html: no links. Repeated rows are
     judged one by one. Empty table: no rows.
     """
@@ -104,13 +107,13 @@ def judged(pages: DataFrame, rules=RULES, damping: float = 0.85, steps: int = 20
     seeds = (hosts.where(F.col("allowed") > majority * F.col("n")).select(F.lit("trust").alias("kind"), "host")
              .union(hosts.where(F.col("blocked") > majority * F.col("n")).select(F.lit("distrust"), "host")))
     masses = seeds.groupBy("kind").agg((1 / F.count(F.lit(1))).alias("mass"))
-    score = propagate(host_edges(named), seeds.join(F.broadcast(masses), "kind"), damping, steps)
+    score = propagate(host_edges(named), seeds.join(F.broadcast(masses), "kind"), damping)
     by_host = score.groupBy("host").agg(
         F.coalesce(F.sum(F.when(F.col("kind") == "trust", F.col("score"))), F.lit(0.0)).alias("trust"),
         F.coalesce(F.sum(F.when(F.col("kind") == "distrust", F.col("score"))), F.lit(0.0)).alias("distrust"))
     zero = F.lit(0.0)
     out = named.drop("html").join(by_host, "host", "left")
     trust, distrust = F.coalesce("trust", zero), F.coalesce("distrust", zero)
-    by_links = F.when((distrust > trust) & (distrust >= least), "block").otherwise("allow")
+    by_links = F.when(distrust > trust, "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce(ruled, by_links).alias("verdict"),
                       trust.alias("trust"), distrust.alias("distrust"))
