@@ -166,6 +166,19 @@ def test_lines(docs, none):
     assert substring_dedup.without_repeats(none).count() == 0
 
 
+def test_lines_of_other_scripts(spark):
+    line = "这是一条很长的中文句子里面没有空格也没有标点所以它只算作一个词但是它在许多文章里反复出现"
+    said = "他昨天在学校门口遇见了多年不见的老朋友并且谈了很久！"
+    # these differ in one vowel sign only
+    here, there = "वह मेरी किताब लेकर बाज़ार गया था।", "वह मेरे किताब लेकर बाज़ार गया था।"
+    made = [(1, f"{line}\n甲。"), (2, f"开头。{said}结尾。"), (3, here), (4, there), (5, f"乙。\n{line}\n"),
+            (6, f"另一篇文章。{said}然后完了。"), (7, here), (8, "Chapter one\n你好世界"), (9, "Chapter one\n你好世界"),
+            (10, "Unquestionably institutional responsibilities"), (11, "unquestionably institutional responsibilities!")]
+    got = substring_dedup.without_repeats(spark.createDataFrame(made, "doc_id bigint, text string"))
+    kept = {r.doc_id: r.kept_text for r in got.collect()}
+    assert kept == dict(made) | {5: "乙。\n", 6: "另一篇文章。然后完了。", 7: "", 11: ""}
+
+
 def ids_of(text, tokenizer):
     return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
 

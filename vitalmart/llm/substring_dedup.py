@@ -2,15 +2,18 @@
 
 Units are the lines of a text and, within lines of several sentences, the
 sentences, so that a passage set into running text is met as well. A unit is
-normalised (lowered, words only) and hashed to 128 bits; over the whole
-corpus the earliest occurrence of each digest, by document and place, stays,
-all others go. Units of fewer than ``least_words`` words always stay: common
-short phrases repeat by chance.
+normalised (lowered, words only, with their combining marks) and hashed to
+128 bits; over the whole corpus the earliest occurrence of each digest, by
+document and place, stays, all others go. Units of fewer than ``least_words``
+words that have fewer than ``LEAST_LETTERS`` letters as well always stay:
+common short phrases repeat by chance. (Scripts without spaces have few words
+in any length of text.)
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from hashlib import blake2b
 
 import numpy as np
@@ -21,9 +24,26 @@ from pyspark.sql import functions as F
 
 from vitalmart.llm.common import saved, ship
 
-_WORDS = re.compile(r"\w+")
+#: Word characters (letters, digits) from which on a unit of few words is one.
+LEAST_LETTERS = 20
+#: Vowel signs and other combining marks, which \w leaves out.
+_MARKS = "".join(c for c in map(chr, [*range(0x300, 0x20000), *range(0xE0100, 0xE01F0)]) if unicodedata.category(c)[0] == "M")
+_PLAIN, _MARKED = re.compile(r"\w+"), re.compile(rf"\w+(?:(?![\x00-\u02ff])[{_MARKS}]+\w*)*")
+_NO_MARKS = dict.fromkeys(map(ord, _MARKS))
 _LINE = re.compile(r"[^\n]*\n|[^\n]+")
-_SENTENCE = re.compile(r".+?(?:[.!?]+(?=\s)\s*|\Z)", re.S)
+# full-width marks need no blank after them, but take closing quotes and brackets along
+_SENTENCE = re.compile(r".(?:[^.!?।॥۔؟。！？｡]+|.)*?(?:[.!?।॥۔؟]+(?=\s)\s*|[。！？｡]+[」』”’）】》]*\s*|\Z)", re.S)
+
+
+def _words(text: str) -> list[str]:
+    return (_PLAIN if text.isascii() else _MARKED).findall(text.lower())
+
+
+def _long(words: list[str], least_words: int) -> bool:
+    if len(words) >= least_words:
+        return True
+    letters = "".join(words)
+    return len(letters) >= LEAST_LETTERS and len(letters.translate(_NO_MARKS)) >= LEAST_LETTERS
 
 
 def units(text: str, least_words: int):
@@ -31,15 +51,15 @@ def units(text: str, least_words: int):
     included."""
     for line in _LINE.finditer(text):
         whole = line[0]
-        words = _WORDS.findall(whole.lower())
-        if len(words) < least_words:
+        words = _words(whole)
+        if not _long(words, least_words):
             continue
         yield line.start(), line.end(), _digest(words)
         parts = [m.span() for m in _SENTENCE.finditer(whole)]
         if len(parts) > 1:
             for a, b in parts:
-                own = _WORDS.findall(whole[a:b].lower())
-                if len(own) >= least_words:
+                own = _words(whole[a:b])
+                if _long(own, least_words):
                     yield line.start() + a, line.start() + b, _digest(own)
 
 
