@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitalmart.llm import (cap_filters, common, exact_topk, language_id, minmax_dedup, mixing, packing, substring_dedup,
-                           suffix_dedup, token_output, url_graph)
+                           suffix_dedup, token_output, tokens, url_graph)
 from vitalmart.llm.queries import tokenizer_path
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size bigint, row string, part int"
@@ -190,6 +190,15 @@ def tokenizer():
     return Tokenizer.from_file(tokenizer_path())
 
 
+def test_added_tokens_by_case(tokenizer):
+    texts = ["<|endoftext|> x", "<|ENDOFTEXT|> X", "a<|EndOfText|>b", "a<|endoftext|>b", "A<|endoftext|>B <|"]
+    for own in (texts, texts[::-1]):
+        raw = [t.encode() for t in own]
+        offsets = np.cumsum([0, *map(len, raw)])
+        ids, n = tokens.Encoder(tokenizer_path()).encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in own]
+
+
 def test_token_files(spark, docs, none, tokenizer, tmp_path):
     token_output.write_tokens(docs, f"{tmp_path}/a", tokenizer_path(), 2, chunk=500)
     got = sorted(token_output.read_tokens(spark, f"{tmp_path}/a", with_ids=True).collect(), key=lambda r: r.start)

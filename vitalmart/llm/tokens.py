@@ -59,7 +59,8 @@ class Encoder:
     """Ids of whole texts by a tokenizers file whose pre-tokenizer never joins
     text across white space: a text's ids are then the ids of its segments
     (see above), so each distinct segment is encoded by the library once and
-    found again by a 64-bit hash of its lowered bytes. Runs of plain Latin
+    found again by a 64-bit hash of its lowered bytes (of its own bytes, if it
+    holds ``<|``). Runs of plain Latin
     letters, whose normalised form is known, go to the library's model
     directly; all else goes through the whole tokenizer. Holds at most
     ``most`` segments, then starts again."""
@@ -101,8 +102,13 @@ class Encoder:
         """All ids of the texts data[offsets[i]:offsets[i + 1]] one after the
         other, and the number of ids of each text, its end id included."""
         starts, ends = segments(data, offsets)
+        low = lowered(data)
+        # added tokens are matched in the raw text, so what may hold one keeps its bytes
+        added = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+        for k in np.unique(np.searchsorted(starts, added, side="right") - 1).tolist():
+            low[starts[k]:ends[k]] = data[starts[k]:ends[k]]
         with np.errstate(over="ignore"):
-            keys = spans(lowered(data), starts, ends)
+            keys = spans(low, starts, ends)
         found, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.at) > self.most:
             self._reset()
