@@ -253,6 +253,13 @@ def test_languages(spark, docs, none):
     assert language_id.languages(none).count() == 0
 
 
+def test_no_language_learned(docs):
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    got = language_id.known(unlabelled)
+    want = [r[1] for r in rows() if r[1] and any(c.isalpha() for c in r[1])]
+    assert want and got.columns == docs.columns and sorted(r.text for r in got.collect()) == sorted(want)
+
+
 def test_mixing(docs, none):
     got = mixing.mixed(docs).collect()
     assert len(got) == len(rows()) and sorted(map(str, got)) == sorted(map(str, mixing.mixed(docs.repartition(5)).collect()))

@@ -6,6 +6,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -163,10 +164,18 @@ def languages(docs: DataFrame) -> DataFrame:
     return predict(own, model, ["doc_id", "held_out"])
 
 
+def _lettered(text: pd.Series) -> pd.Series:
+    return pd.Series([bool(t and _LETTER.search(t)) for t in text], dtype=bool)
+
+
 def known(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` without those rejected: no letters, or no language with a
-    posterior of ``least``. All columns stay as they are."""
+    posterior of ``least``. Where no language can be learned (no row that isn't
+    held out has text and lang) only those without letters go. All columns stay
+    as they are."""
     model = fit(docs.where(~held_out()))
     cols = docs.columns
+    if not model[0]:
+        return docs.where(F.pandas_udf(_lettered, "boolean")("text"))
     judged = predict(docs, model, cols)
     return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(cols)
