@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalmart.llm import (cap_filters, exact_topk, language_id, minmax_dedup, mixing, packing, substring_dedup,
-                           suffix_dedup, token_output, url_graph)
+from vitalmart.llm import (block_whitening, cap_filters, content_sort, exact_topk, language_id, minmax_dedup, mixing,
+                           packing, spelling_trie, substring_dedup, suffix_dedup, token_output, url_graph)
 from vitalmart.llm.common import saved, scratch, table
 
 
@@ -64,10 +64,24 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_trie.variants(table(spark, sf_dir, "documents"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (content_sort.exact_copies(table(spark, sf_dir, "documents"))
+            .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1, "op2_token_output": op2, "op3_url_graph": op3, "op4_language_id": op4,
     "op5_source_mix": op5, "op6_suffix_dedup": op6, "op7_exact_topk": op7, "op8_packing": op8,
     "op9_embedding_near_dedup": op9, "op10_minmax_near_dedup": op10,
+    "op11_block_whitening": op11, "op12_spelling_trie": op12, "op13_content_sort": op13,
 }
 
 SQL = {
@@ -123,4 +137,14 @@ WITH RECURSIVE words AS (
 ), low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, low.component_id, d.doc_id = low.component_id AS kept
 FROM documents d JOIN low ON d.doc_id = low.a LEFT JOIN sizes s ON s.doc_id = d.doc_id""",
+    "op13_content_sort": """
+WITH bare AS (
+  SELECT doc_id, coalesce(length(text), 0) AS n, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS t
+  FROM documents
+), judged AS (
+  SELECT doc_id, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY t) AS group_size, t
+  FROM bare
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM judged""",
 }
