@@ -17,7 +17,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +35,10 @@ _HELD = 100_000
 
 def _counted(spoilt: int):
     def words(doc_id, text: str) -> Iterator[tuple[str, int]]:
-        own = "" if doc_id is None else str(doc_id)
-        for run, n in Counter(_RUN.findall(text.translate(_LOWER))).items():
-            h = zlib.crc32(f"{own}:{run}".encode())
+        own = zlib.crc32(("" if doc_id is None else str(doc_id)).encode() + b":")
+        for run, n in Counter(_RUN.findall(text)).items():  # spellings of one word are judged alike
+            run = run.lower() if run.isascii() else run.translate(_LOWER)
+            h = zlib.crc32(run.encode(), own)
             if spoilt and h % spoilt == 0:
                 at = h % len(run)
                 run = run[:at] + run[at + 1:]
@@ -76,8 +76,8 @@ def counted_words(docs: DataFrame, least_points: int = 5, least_n: int = 3, spoi
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, way, depth, node, next letter; empty at the end) of each prefix of
-    each word (way 0) and of each reversed word (way 1)."""
+    """(id, way, depth, node, next code point; -1 at the end) of each prefix
+    of each word (way 0) and of each reversed word (way 1)."""
     m = (1 << 64) - 1
     for batch in batches:
         letters, ids, ways, depths, nodes, nexts = 0, [], [], [], [], []
@@ -85,7 +85,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out():
             done = pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(ways, pa.int32()), pa.array(depths, pa.int32()),
-                 pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(nexts, pa.string())],
+                 pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(nexts, pa.int32())],
                 ["id", "way", "depth", "node", "next"])
             for held in (ids, ways, depths, nodes, nexts):
                 held.clear()
@@ -94,11 +94,11 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             for way, w in ((0, word), (1, word[::-1])):
                 h = _ROOTS[way]
-                for letter in w:
-                    nodes.append(h), nexts.append(letter)
-                    h = (h ^ ord(letter)) * 0xFF51AFD7ED558CCD & m
+                for point in map(ord, w):
+                    nodes.append(h), nexts.append(point)
+                    h = (h ^ point) * 0xFF51AFD7ED558CCD & m
                     h ^= h >> 29
-                nodes.append(h), nexts.append("")
+                nodes.append(h), nexts.append(-1)
                 ids.extend([own] * (len(w) + 1)), ways.extend([way] * (len(w) + 1)), depths.extend(range(len(w) + 1))
             letters += len(word)
             if letters > 50_000:
@@ -109,13 +109,14 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _trie(words: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """The edges (node, first, label, child, ends: the word that ends at the
-    child, in a list, as node hashes may meet) of both tries, and each word's own path (way, w, pos, node, upto,
+    child, in a list, as node hashes may meet, nexts: the letters that follow
+    there) of both tries, and each word's own path (way, w, pos, node, upto,
     child: the path's next node, null at its end)."""
     named = compact(words.select(F.monotonically_increasing_id().alias("id"), "word"), f"{path}/words")
-    prefixes = compact(named.mapInArrow(_prefixes, "id bigint, way int, depth int, node bigint, next string"), f"{path}/prefixes")
+    prefixes = compact(named.mapInArrow(_prefixes, "id bigint, way int, depth int, node bigint, next int"), f"{path}/prefixes")
     # branching prefixes, whole words, and the two roots
     nodes = compact(prefixes.groupBy("node").agg(F.min("next").alias("a"), F.max("next").alias("z"), F.min("depth").alias("d"))
-                    .where("a = '' OR a <> z OR d = 0").select("node"), f"{path}/nodes")
+                    .where("a < 0 OR a <> z OR d = 0").select("node"), f"{path}/nodes")
     on = (prefixes.join(nodes, "node").groupBy("id", "way")
           .agg(F.sort_array(F.collect_list(F.struct("depth", "node"))).alias("on")))  # of one word: as long as it
     there = F.get("on", F.col("i") + 1)
@@ -127,35 +128,48 @@ def _trie(words: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     edges = compact(steps.where("upto IS NOT NULL")
                     .select("node", label.alias("label"), "child", F.when(F.col("upto") == F.length("w"), F.col("w")).alias("ends"))
                     .groupBy("node", "label", "child").agg(F.collect_set("ends").alias("ends"))
-                    .withColumn("first", F.substring("label", 1, 1)), f"{path}/edges")
-    return edges, steps
+                    .withColumn("first", F.substring("label", 1, 1)), f"{path}/single")
+    after = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set("first"), "").alias("nexts"))  # of one alphabet
+    return compact(edges.join(after, "child", "left"), f"{path}/edges"), steps
 
 
 def _walked(edges: DataFrame, steps: DataFrame, path: str) -> DataFrame:
     """(way, w, other): words that one edit ends at."""
     spark, size, n = edges.sparkSession, F.length("w"), F.length("label")
     piece = lambda more: F.substring(F.col("w"), F.col("pos") + 1, n + more)
-    def moved(joined: DataFrame, more: int, edits: int) -> DataFrame:
-        alike = F.levenshtein(piece(more), F.col("label"), edits) == edits if edits else piece(more) == F.col("label")
-        fits = (F.col("pos") + n + more <= size) & alike
-        return joined.where(fits).select("way", "w", (F.col("pos") + n + more).alias("pos"), F.col("child").alias("node"), "ends")
+    def moved(joined: DataFrame, edits: int) -> DataFrame:
+        """One step of each state over its edge, in up to three ways."""
+        def at(more: int):
+            pos = F.col("pos") + n + more
+            if edits:  # most labels are one letter
+                single = {0: piece(0) != F.col("label"), -1: F.lit(True), 1: F.contains(piece(1), F.col("label"))}[more]
+                alike = F.when(n == 1, single).otherwise(F.levenshtein(piece(more), F.col("label"), 1) == 1)
+            else:
+                alike = piece(0) == F.col("label")
+            # states that could neither end nor go on aren't kept
+            goes_on = F.when(pos == size, F.size("ends") > 0).otherwise(F.contains("nexts", F.substring(F.col("w"), pos + 1, 1)))
+            return F.when((pos <= size) & goes_on & alike, pos)
+
+        ways = F.filter(F.array(*[at(more) for more in ((0, -1, 1) if edits else (0,))]), lambda p: p.isNotNull())
+        return (joined.select("way", "w", F.explode(ways).alias("pos"), F.col("child").alias("node"), "ends")
+                .withColumn("ends", F.when(F.col("pos") == size, F.col("ends"))))
 
     def level(frontier: DataFrame, k: int) -> tuple[DataFrame, bool]:
         done = compact(frontier, f"{path}/level{k}")
         going = done.where(F.col("pos") < F.length("w")).limit(1).count() > 0
         return done, going
 
-    # the edit: only an edge that reaches the second half can hold it
+    # the edit: only an edge that reaches into the second half can hold it, or
+    # the last letter's loss at a node before the end
     half = F.when(F.col("way") == 0, F.floor(size / 2)).otherwise(F.ceil(size / 2))
-    none = steps.where(F.col("upto").isNull() | (F.col("upto") >= half)).select("way", "w", "pos", "node")
-    joined = none.join(edges, "node")
-    frontier, going = level(reduce(DataFrame.union, [moved(joined, more, 1) for more in (0, -1, 1)]).distinct(), 0)
+    none = steps.where(F.col("upto").isNull() | (F.col("upto") >= F.least(half + 1, size - 1))).select("way", "w", "pos", "node")
+    frontier, going = level(moved(none.join(edges, "node"), 1), 0)
     k = 0
     while going:
         k += 1
         on = frontier.where(F.col("pos") < F.length("w")).drop("ends")
         joined = on.withColumn("first", F.substring(F.col("w"), F.col("pos") + 1, 1)).join(edges, ["node", "first"])
-        frontier, going = level(moved(joined, 0, 0).distinct(), k)
+        frontier, going = level(moved(joined, 0), k)
     states = spark.read.parquet(*[f"{path}/level{i}" for i in range(k + 1)])
     return states.where(F.col("pos") == F.length("w")).select("way", "w", F.explode("ends").alias("other"))
 
