@@ -154,7 +154,7 @@ def running_sums(df: DataFrame, order: list[Column | str], values: list[str]) ->
     return out.drop("_pid", *[f"_{v}" for v in values])
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b: long): the smallest
     id reachable. Alternating large-star and small-star rounds; each keeps
     one row per edge, written to the shared folder, until nothing changes.
@@ -177,16 +177,12 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     e = saved(edges.where("a <> b")
               .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = told(e)
-    for _ in range(most):
-        if not before[0]:
-            break
+    while before[0]:  # a round at least halves the depth, so their number is a logarithm
         e = saved(star(star(e, True), False))
         now = told(e)
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError(f"components did not settle in {most} rounds")
     own = e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(own)
 

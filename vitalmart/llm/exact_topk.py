@@ -93,7 +93,7 @@ def _search(k: int):
                 ids = np.array(ids, np.int64)
                 x = np.frombuffer(data, np.int64).reshape(-1, dim)
                 q = np.frombuffer(qdata, np.int64).reshape(-1, dim)
-                if dim and float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * dim >= 2.0 ** 51:
+                if dim and np.abs(x.astype(float)).max(initial=0) * np.abs(q.astype(float)).max(initial=0) * dim >= 2.0 ** 51:
                     x, q = x.astype(object), q.astype(object)  # beyond what doubles hold
                 if number != key:
                     key, codes = number, approximate(x) if x.dtype != object else None
@@ -127,14 +127,16 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, block: i
     Vectors that are null or hold null or non-finite components, and null
     vec_ids, take no part; only vectors of one length are compared. Of
     repeated vec_ids as queries one stays (the smallest vector), as candidates
-    all. Components beyond 64 bits after scaling take no part; sums beyond
-    them stop at the largest long. Empty table: no rows.
+    all. Components beyond 64 bits after scaling, and scores beyond them,
+    stop at the largest (smallest) long. Empty table: no rows.
     """
     ship(vectors.sparkSession)
     x = F.col("embedding")
+    # what a long can't hold stops at its ends; sums of such are exact integers (see _search)
     whole = F.transform(x, lambda v: F.floor(v.cast("double") * scale))
     usable = vectors.where(x.isNotNull() & F.col("vec_id").isNotNull()
-                           & F.forall(x, lambda v: v.isNotNull() & (F.abs(v.cast("double")) < 2.0 ** 53)))
+                           & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v.cast("double"))
+                                      & (F.abs(v.cast("double")) < F.lit(float("inf")))))
     rows = usable.select(F.col("vec_id").cast("bigint").alias("vec_id"), whole.alias("v"))
     schema = "dim int, ids array<bigint>, data binary"
     blocks = saved(rows.mapInArrow(_gather(block), schema).withColumn("number", F.monotonically_increasing_id()))

@@ -15,8 +15,6 @@ from vitalmart.llm.common import ship
 
 BUCKETS = 1 << 16
 SIZES = (1, 2, 3)
-#: Most languages a model may have: bounds the broadcast (512 KB each).
-MOST_LANGUAGES = 256
 _LETTER = re.compile(r"[^\W\d_]")
 _STEP_CHARS = 1 << 20
 
@@ -95,11 +93,10 @@ def fit(labelled: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndar
     rows = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
     summed = (rows.mapInArrow(_counted, "lang string, bucket int, n bigint")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
-    # one row per language of at most BUCKETS + 1 counts
+    # the model: a row per language of at most BUCKETS + 1 counts, 512 KB each
+    # once broadcast; it grows with the languages named, not with the rows
     found = (summed.groupBy("lang").agg(F.collect_list("bucket").alias("b"), F.collect_list("n").alias("n"))
-             .orderBy("lang").limit(MOST_LANGUAGES + 1).toArrow())
-    if found.num_rows > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+             .orderBy("lang").toArrow())
     langs = found.column("lang").to_pylist()
     counts, docs = np.zeros((BUCKETS, len(langs))), np.zeros(len(langs))
     for i in range(len(langs)):
@@ -142,8 +139,7 @@ def predict(docs: DataFrame, model, keep: list[str]) -> DataFrame:
     no letter, or nothing was learned. Reads whole texts only."""
     spark = docs.sparkSession
     ship(spark)
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join([f"`{c}` {fields[c]}" for c in keep] + ["lang_pred string", "score double"])
+    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     cols = keep if "text" in keep else [*keep, "text"]
     return docs.select(*cols).mapInArrow(
         _scored(spark.sparkContext.broadcast(model), cols.index("text"), len(keep)), schema)
@@ -172,10 +168,11 @@ def known(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` without those rejected: no letters, or no language with a
     posterior of ``least``. Where no language can be learned (no row that isn't
     held out has text and lang) only those without letters go. All columns stay
-    as they are."""
+    as they are, whatever their names; repeated rows stay or go alike; an empty
+    table gives no rows."""
     model = fit(docs.where(~held_out()))
-    cols = docs.columns
     if not model[0]:
         return docs.where(F.pandas_udf(_lettered, "boolean")("text"))
-    judged = predict(docs, model, cols)
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(cols)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    judged = predict(rows, model, ["row"])
+    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("row.*")

@@ -25,7 +25,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalmart.llm.common import compact, components, lists, mix, saved, scratch, ship, signed, steps, text_bytes
+from vitalmart.llm.common import (compact, components, lists, mix, running_sums, saved, scratch, ship, signed, steps,
+                                   text_bytes)
 from vitalmart.llm.shingles import set_of, shingle_sets
 
 _SEED = 20240607
@@ -111,12 +112,13 @@ def _confirmed(shingle: int, percent: int):
     return run
 
 
-def _cells(members: DataFrame, rows: int = 512, size: int = 1 << 20) -> DataFrame:
+def _cells(members: DataFrame, rows: int = 256, size: int = 1 << 17) -> DataFrame:
     """Rows (cell, rep, packed), cells together: outer members of a bucket
     meet each other and the bucket's main component, in blocks of about
-    ``rows`` members or ``size`` compressed bytes."""
+    ``rows`` members or ``size`` shingles, so that what a cell holds is
+    bounded however well its texts compress."""
     members = saved(members)
-    shape = members.groupBy("key", "outer").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("packed")).alias("z"))
+    shape = members.groupBy("key", "outer").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("z"))
     blocks = F.ceil(F.greatest(F.col("n") / rows, F.col("z") / size))
     shape = (shape.groupBy("key")
              .agg(F.max(F.when(F.col("outer"), blocks)).alias("nb_outer"),
@@ -190,13 +192,13 @@ def _linked_in_cells(shingle: int, percent: int):
         cell, ids, packed = None, [], []
         for batch in batches:
             a, b = [], []
-            for c, i, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for c, i, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 if c != cell:
                     x, y = solve(ids, packed, unpress)
                     a.append(x), b.append(y)
                     cell, ids, packed = c, [], []
                 ids.append(i)
-                packed.append(p)
+                packed.append(p.as_py())
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (a or [[]], b or [[]])],
                                              ["a", "b"])
         x, y = solve(ids, packed, unpress)
@@ -236,9 +238,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, permut
 
         # packed text of each class in a bucket, by class
         wanted = buckets.select("sig", "rep").distinct()
-        texts = compact(rows.select("doc_id", "sig", "packed")
+        texts = compact(rows.select("doc_id", "sig", "packed", "n_shingles")
                         .join(wanted.withColumnRenamed("rep", "doc_id"), ["sig", "doc_id"])
-                        .dropDuplicates(["sig"]).select("sig", "packed"), f"{path}/texts")
+                        .dropDuplicates(["sig"]).select("sig", "packed", "n_shingles"), f"{path}/texts")
 
         def confirm(pairs: DataFrame) -> DataFrame:
             right = texts.select(F.col("sig").alias("b"), F.col("packed").alias("y"))
@@ -269,7 +271,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, permut
         open_ = (sizes.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("n", "c")).alias("m"))
                  .where("k > 1").select("key", F.col("m.c").alias("main")))
         members = (placed.join(open_, "key").join(texts, "sig")
-                   .select("key", "rep", "packed", (F.col("c") != F.col("main")).alias("outer")))
+                   .select("key", "rep", "packed", "n_shingles", (F.col("c") != F.col("main")).alias("outer")))
         more = saved(_cells(members).mapInArrow(_linked_in_cells(shingle, percent), "a bigint, b bigint"))
         labels = saved(components(links.union(ties).union(more)))
 
@@ -281,11 +283,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, permut
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, permutations: int = 40) -> DataFrame:
-    """``docs`` without the documents that are not kept; of rows with one
-    doc_id the smallest stays. Rows without doc_id stay."""
-    found = near_duplicates(docs, shingle, percent, permutations)
-    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    single = named.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("r")).select("doc_id", "r.*")
-    return single.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """``docs`` without the documents that are not kept, all columns as they
+    are: of each component the row of the smallest doc_id (null last) stays.
+
+    Rows of one doc_id and one text are one document, of which one row stays
+    (that of the smallest hash, maps left out); rows of one doc_id and several texts, and rows without doc_id,
+    are documents of their own, compared like all others. Null, empty and
+    blank texts are like nothing else and stay. Empty table: no rows.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    text_hash = F.xxhash64("text")
+    plain = [F.col("row")[f.name] for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                      F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_hash.alias("text_hash"))
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash.alias("text_hash")).distinct()
+    shared = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
+    if shared.limit(1).count():  # then ids don't name texts: documents are numbered, in order of their ids
+        named = (running_sums(ids.withColumn("one", F.lit(1).cast("bigint")), [F.col("doc_id").asc_nulls_last(), "text_hash"], ["one"])
+                 .select(F.col("doc_id").alias("its_id"), F.col("text_hash").alias("its_hash"), F.col("one_before").alias("number")))
+        own = (own.join(named, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("text_hash") == F.col("its_hash")))
+               .select("row", F.col("number").alias("doc_id"), "text"))
+    kept = near_duplicates(own, shingle, percent, permutations).where("kept").select("doc_id").distinct()
+    return (own.select("row", "doc_id").join(kept, "doc_id", "left_semi")
+            .groupBy("doc_id").agg(F.min_by("row", F.xxhash64(*plain)).alias("row")).select("row.*"))

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from vitalmart.llm.common import running_sums, saved, ship
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Sources a mix may name; their totals come to the driver.
-MOST_SOURCES = 100_000
 
 
 def targets(sizes: dict, weights: tuple = (5, 2, 1), most: float = 3) -> dict:
@@ -46,9 +44,8 @@ def mixed(docs: DataFrame, weights: tuple = (5, 2, 1), most: int = 3, seed: int
         F.col("doc_id").cast("bigint"), "source", F.xxhash64("text").alias("text_hash"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), F.lit(1).cast("bigint").alias("one"))
         .withColumn("turn", F.xxhash64("doc_id", "text_hash", F.lit(seed))))
-    totals = sized.groupBy("source").agg(F.sum("size").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(totals) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
+    # one row per source name, which the driver shares the budget out between
+    totals = sized.groupBy("source").agg(F.sum("size").alias("n")).collect()
     sizes = {r.source: r.n for r in totals}
     goal, budget, begin, known = targets(sizes, weights, most), sum(sizes.values()), 0, []
     for s in sorted(sizes, key=lambda s: (s is None, s or "")):
@@ -57,7 +54,7 @@ def mixed(docs: DataFrame, weights: tuple = (5, 2, 1), most: int = 3, seed: int
     names = spark.createDataFrame(known, "name string, begin bigint, source_size bigint, target double")
 
     queued = (running_sums(sized, [F.col("source").asc_nulls_last(), "turn", "doc_id", "text_hash"], ["size", "one"])
-              .join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name")))
+              .join(names, F.col("source").eqNullSafe(F.col("name")))
               .withColumn("upto", F.col("size_before") - F.col("begin") + F.col("size"))
               .drop("size_before").withColumnRenamed("one_before", "row"))
     # a source without words: size and target 0, one copy of each row, which isn't taken
@@ -76,12 +73,12 @@ def mixed(docs: DataFrame, weights: tuple = (5, 2, 1), most: int = 3, seed: int
 def sampled(docs: DataFrame, weights: tuple = (5, 2, 1), most: int = 3) -> DataFrame:
     """``docs`` as mixed: every document as many times as it is taken. Rows
     alike in doc_id, source and text are copies of one document, of which one
-    row's other columns stay."""
+    row's other columns stay. Null texts and texts without words are never taken;
+    a null doc_id is an id like others; an empty table gives no rows."""
     by = ["doc_id", "source", "text_hash"]
-    times = mixed(docs, weights, most).groupBy(by).agg(F.sum("copies").cast("int").alias("_times")).where("_times > 0")
-    cols = docs.columns
-    rows = docs.withColumn("text_hash", F.xxhash64("text"))
-    t = times.select(*[F.col(c).alias(f"_{c}") for c in by], "_times")
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-    once = rows.dropDuplicates(by).join(t, same[0] & same[1] & same[2])
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(cols)
+    times = mixed(docs, weights, most).groupBy(by).agg(F.sum("copies").cast("int").alias("times")).where("times > 0")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("its_id"),
+                       F.col("source").alias("its_source"), F.xxhash64("text").alias("its_hash"))
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(by, ["its_id", "its_source", "its_hash"])]
+    once = rows.dropDuplicates(["its_id", "its_source", "its_hash"]).join(times, same[0] & same[1] & same[2])
+    return once.select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 
 from vitalmart.llm.common import mix
@@ -9,6 +11,10 @@ from vitalmart.llm.common import mix
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+#: Bytes from which on a word is hashed by blake2b.
+_LONG = 256
+#: Masks of the first 0 to 8 bytes.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -41,10 +47,23 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 
 def spans(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """The hashes of data[s:e]."""
-    p = prefix_hashes(data)
-    _, back = powers(len(data) + 1)
-    return mix((p[e] - p[s]) * back[s] + (e - s).astype(np.uint64))
+    """64-bit hashes of data[s:e]. Eight bytes at a time are mixed into a
+    chain, which no sum of terms can undo (other than a polynomial, in which
+    words of a certain pattern cancel out); what is long goes to blake2b."""
+    n = e - s
+    eights = np.ndarray(len(data) + 1, "<u8", np.r_[data, np.zeros(8, np.uint8)].tobytes(), strides=(1,))
+    out = mix(n.astype(np.uint64) + np.uint64(_BASE))
+    live = np.flatnonzero((n > 0) & (n <= _LONG))
+    k = 0
+    while len(live):
+        left = n[live] - k
+        part = eights[s[live] + k] & _FIRST[np.minimum(left, 8)]
+        out[live] = mix(out[live] * _STEP ^ mix(part + np.uint64(_BASE)))
+        k += 8
+        live = live[left > 8]
+    for i in np.flatnonzero(n > _LONG).tolist():
+        out[i] = int.from_bytes(blake2b(data[s[i]:e[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -129,13 +129,15 @@ def without_repeats(docs: DataFrame, least_words: int = 5) -> DataFrame:
     Of equal units the one of the smallest (doc_id, text hash, place) stays;
     rows alike in doc_id and text count as one document and lose the same.
     Null doc_ids rank first; null and empty texts have no units and stay as
-    they are; an empty table gives no rows.
+    they are; an empty table gives no rows. A column of ``docs`` that has the
+    name of one of the three is replaced.
     """
-    spans = repeated(docs, least_words).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "starts", "ends")
-    own = docs.withColumn("_text_hash", F.xxhash64("text"))
-    joined = own.join(spans, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id"))
-                      & (F.col("_text_hash") == F.col("_hash")), "left")
+    names = docs.columns
+    spans = repeated(docs, least_words)
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").cast("bigint").alias("its_id"),
+                      F.xxhash64("text").alias("its_hash"))
+    joined = own.join(spans, F.col("its_id").eqNullSafe(F.col("doc_id")) & (F.col("its_hash") == F.col("text_hash")), "left")
     none = F.array().cast("array<int>")
-    return (joined.withColumn("kept_text", F.pandas_udf(_kept, "string")("text", "starts", "ends"))
-            .select(*docs.columns, "kept_text", F.coalesce("starts", none).alias("starts"),
-                    F.coalesce("ends", none).alias("ends")))
+    new = {"kept_text": F.pandas_udf(_kept, "string")(F.col("row")["text"], "starts", "ends"),
+           "starts": F.coalesce("starts", none), "ends": F.coalesce("ends", none)}
+    return joined.select(*[F.col("row")[c].alias(c) for c in names if c not in new], *[v.alias(c) for c, v in new.items()])
