@@ -30,9 +30,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines and sentences go from the texts, but for the earliest."""
-    done = substring_dedup.without_repeats(docs)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+    done = substring_dedup.without_repeats(rows)
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("bigint")}
-    return done.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return done.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
