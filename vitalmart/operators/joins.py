@@ -18,31 +18,50 @@ def natural_join(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
     return a.join(b, cond, how).select(*[a[c] for c in a.columns], *rest_b)
 
 
-# Value into [lower, upper] of the bands of the same year. The year
-# equality keeps it an equi-join with the range test as a residual.
-# ``broadcast_bands``: None leaves the strategy to the measured size of the
-# bands, True is for bands of a known bound. Where bands are large, joining on
-# the year alone would send all values of a year to one task: with False both
-# sides get a value bucket: each band is
-# repeated for the buckets it covers and the join is on (year, bucket), with
-# the range still checked as a residual (a value meets every covering band
-# exactly once, in its own bucket).
-def range_join(values: DataFrame, bands: DataFrame, year: str, value: str,
-               lower: str, upper: str, how: str = "inner",
-               broadcast_bands: bool | None = True, bucket_width: float | None = None) -> DataFrame:
-    if broadcast_bands or broadcast_bands is None:
-        b = F.broadcast(bands) if broadcast_bands else bands
-        cond = (values[year] == b[year]) & values[value].between(b[lower], b[upper])
-        return values.join(b, cond, how)
-    if not bucket_width:
-        raise ValueError("a bucket width is needed when the bands are not broadcast")
-    w = F.lit(float(bucket_width))
-    v = values.withColumn("_bucket", F.floor(F.col(value) / w))
-    b = bands.withColumn("_bucket", F.explode(F.sequence(
-        F.floor(F.col(lower) / w), F.floor(F.col(upper) / w))))
-    cond = ((v[year] == b[year]) & (v["_bucket"] == b["_bucket"])
-            & v[value].between(b[lower], b[upper]))
-    return v.join(b, cond, how).drop(v["_bucket"]).drop(b["_bucket"])
+# Value into [lower, upper] of the bands of the same year, both ends
+# included. Joining on the year alone would send all values of a year to one
+# task. A quantile sketch per year (one row a year, so it is broadcast) cuts its
+# values into buckets of about ``rows`` rows; a value that fills several
+# buckets by itself makes one that is dealt out to as many parts. Bands are
+# repeated for the buckets and parts they cover, and the join is on (year,
+# bucket, part) with the range as a residual: each value has one bucket and
+# part, so it meets each covering band once.
+GRID = 128  # quantiles of a year's sketch: its most buckets
+
+
+def interval_join(values: DataFrame, bands: DataFrame, year: str, value: str, lower: str,
+                  upper: str, how: str = "inner", rows: int = 1 << 20) -> DataFrame:
+    """All columns of ``values`` and those of ``bands`` it has not; ``how`` is
+    inner or left. Rows without year or value match nothing."""
+    number = F.col(value).cast("double")
+    sketch = (values.where(F.col(year).isNotNull() & number.isNotNull()).groupBy(F.col(year).alias("__year"))
+              .agg(F.count(F.lit(1)).alias("__n"),
+                   F.percentile_approx(number, [i / GRID for i in range(1, GRID)], 10_000).alias("__q")))
+    step = F.floor(GRID / F.least(F.lit(GRID), F.ceil(F.col("__n") / rows)))
+    sketch = sketch.withColumn("__borders", F.array_sort(F.array_distinct(
+        F.filter("__q", lambda x, i: (i + 1) % step == 0))))
+
+    def bucket(x):
+        return F.size(F.filter("__borders", lambda y: y <= x))
+
+    expected = lambda b: F.size(F.filter("__q", lambda x: bucket(x) == b)) * F.col("__n") / GRID
+    sketch = sketch.select("__year", "__borders", F.transform(
+        F.sequence(F.lit(0), F.size("__borders")),
+        lambda b: F.greatest(F.lit(1), F.floor(expected(b) / rows))).alias("__parts"))
+
+    v = (values.join(F.broadcast(sketch), F.col(year) == F.col("__year"), "left")
+         .withColumn("__bucket", F.when(number.isNotNull(), bucket(number)))
+         .withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.get("__parts", F.col("__bucket"))))
+         .drop("__borders", "__parts"))
+    added = [c for c in bands.columns if c not in values.columns]
+    names = {c: f"__band_{i}" for i, c in enumerate(dict.fromkeys([*added, lower, upper]))}
+    b = (bands.where(F.col(lower) <= F.col(upper)).join(F.broadcast(sketch), F.col(year) == F.col("__year"))
+         .withColumn("__bucket", F.explode(F.sequence(bucket(F.col(lower).cast("double")), bucket(F.col(upper).cast("double")))))
+         .withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.get("__parts", F.col("__bucket")) - 1)))
+         .select("__year", "__bucket", "__part", *[F.col(c).alias(n) for c, n in names.items()]))
+    keys = ["__year", "__bucket", "__part"]
+    cond = reduce(lambda x, y: x & y, [v[k] == b[k] for k in keys]) & F.col(value).between(F.col(names[lower]), F.col(names[upper]))
+    return v.join(b, cond, how).select(*[v[c] for c in values.columns], *[b[names[c]].alias(c) for c in added])
 
 
 # Rows whose foreign key has no parent (NULL keys are not violations)

@@ -22,7 +22,7 @@ from vitalmart.constants import (AGGREGATE_REGION, INCOME_BAND_TEXTS, INCOME_NAM
                                  NAME_MAP)
 from vitalmart.functions.stats import MONEY, cents_mean
 from vitalmart.functions.text import bounds_from_parts, income_code, map_names, split_band
-from vitalmart.operators.joins import range_join
+from vitalmart.operators.joins import interval_join
 from vitalmart.operators.keys import first_seen_ids, name_ids, with_position
 from vitalmart.sources.tables import table
 
@@ -213,6 +213,5 @@ def stg_income_group_year(cells_df: DataFrame) -> DataFrame:
 # Each GNI value into the band of its year (body of the band procedure)
 def stg_income_group_country(ipc: DataFrame, igy: DataFrame) -> DataFrame:
     gni = ipc.where(F.col("indicator_id") == 2).select("country_id", "year", "value")
-    j = range_join(gni, igy, "year", "value", "lower_bound", "upper_bound",
-                   broadcast_bands=None)
-    return j.select(gni["country_id"], igy["income_group_year_id"])
+    return (interval_join(gni, igy, "year", "value", "lower_bound", "upper_bound")
+            .select("country_id", "income_group_year_id"))
