@@ -52,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "q_fact_metrics": L.star_table("fact_metrics"),
     "q_fact_reasons": L.star_table("fact_metric_death_reasons"),
     "q_fk_violations": L.fk_check,
+    "q_key_violations": L.key_check,
     "q_quality_checks": L.quality_checks,
     "q_stg_indicator": L.stg_indicator,
     "q_stg_reason_values": L.stg_reason_values,
@@ -74,6 +75,8 @@ QUERIES: dict[str, Query] = {
     "q_reason_export": X.reason_export,
     "q_appended_series": X.appended_series,
     "q_declared_fact": X.declared_fact,
+    "q_quoted_documents": X.quoted_documents,
+    "q_unlike_cause_files": X.unlike_cause_files,
     "q_retyped_year_join": X.retyped_year_join,
     # landing operators over the raw tables
     "q_file_ids": L.file_ids,

@@ -6,18 +6,21 @@ tables) and returns what the reader makes of it, with the declared types.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalmart.constants import AGGREGATE_REGION
 from vitalmart.functions.dates import year_part, year_to_date
+from vitalmart.functions.text import map_names
 from vitalmart.operators.keys import delete_tables, noted_positions
 from vitalmart.plans import staging as st
-from vitalmart.plans.landing_files import wdi
+from vitalmart.plans.landing import cause_measures, file_ids
+from vitalmart.plans.landing_files import cause_values, wdi
 from vitalmart.plans.raw import landing_lists
 from vitalmart.plans.star import mart
 from vitalmart.schemas import COUNTRY, DIM_REASON_EXPORT, STAR
-from vitalmart.sources.tables import read_csv, read_export
+from vitalmart.sources.csv_blocks import read_quoted_csv
+from vitalmart.sources.tables import read_csv, read_export, table
 from vitalmart.sources.writers import append_table, create_empty, write_csv, write_export
 
 
@@ -103,3 +106,59 @@ def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("iso2Code").alias("iso2code"), "iso3Code",
         F.col("index_region").cast("int").alias("region_id"), F.col("region").alias("region_name"),
         F.col("index_income").cast("int").alias("income_id"), F.col("incomeLevel").alias("income_name"))
+
+
+# S1 + S12: whole documents as headed CSV (line breaks, quotes and separators
+# inside the texts), read back by byte blocks
+def quoted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+
+    def write(path):
+        (docs.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
+    back = read_quoted_csv(spark, _published(mart(spark, sf_dir), "landing_documents_csv", write))
+    return back.select(F.col("doc_id").cast("bigint"), "source", "text")
+
+
+# U3 + P13: one file per cause whose headers differ. The five kinds of header
+# go round over the causes in name order: years rising; falling; rising without
+# the first year; falling with a row-number column in front; rising with that
+# column and the block numbers written out (Y, Y.1, Y.2).
+def write_unlike_cause_files(spark: SparkSession, sf_dir: str) -> str:
+    measures = cause_measures(spark, sf_dir)
+    kinds = file_ids(spark, sf_dir).select("reason_name", ((F.col("death_reason_id") - 1) % 5).alias("kind"))
+    rising = F.sort_array(F.collect_set("year"))  # of one cause: as many as there are years
+    years = (measures.groupBy("reason_name").agg(rising.alias("years")).join(kinds, "reason_name")
+             .withColumn("years", F.when(F.col("kind") == 2, F.slice("years", 2, F.size("years")))
+                         .when(F.col("kind").isin(1, 3), F.reverse("years")).otherwise(F.col("years")))
+             .withColumn("numbered", F.col("kind").isin(3, 4)))
+    first = F.when(F.col("numbered"), F.array(F.lit(""), F.lit(""))).otherwise(F.array(F.lit("")))
+
+    def blocks(of):  # three columns per year
+        return F.flatten(F.transform("years", of))
+
+    def sub_header(k):  # after the header, rows that aren't data
+        return F.concat(first, blocks(lambda y: F.array(*[F.lit(f"sub {k}") for _ in range(3)])))
+
+    label = blocks(lambda y: F.transform(F.array(F.lit(""), F.lit(".1"), F.lit(".2")), lambda s: F.concat(
+        y.cast("string"), F.when(F.col("kind") == 4, s).otherwise(F.lit("")))))
+    heads = years.select("reason_name", F.posexplode(F.array(F.concat(first, label), *map(sub_header, (1, 2, 3)))).alias("at", "cells"))
+    value = F.struct(F.col("n_orders").cast("string"), F.col("n_lines").cast("string"), F.col("value_per_reason").cast("string"))
+    of_year = F.map_from_entries(F.collect_list(F.struct("year", value.alias("v"))))
+    per_row = measures.groupBy("reason_name", "name").agg(of_year.alias("of_year"))
+    place = F.row_number().over(Window.partitionBy("reason_name").orderBy("name"))  # one row per country
+    quoted = F.concat(F.lit('"'), F.replace("name", F.lit('"'), F.lit('""')), F.lit('"'))
+    body = (per_row.join(years, "reason_name").withColumn("place", place)
+            .select("reason_name", (F.col("place") + 3).alias("at"), F.concat(
+                F.when(F.col("numbered"), F.array((F.col("place") - 1).cast("string"), quoted)).otherwise(F.array(quoted)),
+                blocks(lambda y: F.transform(F.array(*[F.try_element_at("of_year", y)[c] for c in ("col1", "col2", "col3")]),
+                                             lambda c: F.coalesce(c, F.lit(""))))).alias("cells")))
+    out = (heads.unionByName(body).select("reason_name", "at", F.array_join("cells", ",").alias("line"))
+           .repartition("reason_name").sortWithinPartitions("reason_name", "at").select("reason_name", "line"))
+    return _published(mart(spark, sf_dir), "landing_unlike_causes", lambda p: out.write.partitionBy("reason_name").text(p))
+
+
+def unlike_cause_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reason = F.url_decode(F.replace(F.regexp_extract("file", "/reason_name=([^/]+)/", 1), F.lit("+"), F.lit("%2B")))
+    long = cause_values(spark, write_unlike_cause_files(spark, sf_dir), reason)
+    return long.select("reason_name", map_names("name").alias("name"), "year", "value_per_reason")

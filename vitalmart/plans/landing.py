@@ -15,12 +15,15 @@ from vitalmart.functions.dates import trunc_year, year_part, year_to_date
 from vitalmart.functions.stats import MONEY, mean
 from vitalmart.functions.text import (clean_name, contains_keyword, income_code, key_to_name,
                                       map_names, nan_to_null, year_from_label)
+from vitalmart.operators.constraints import key_violations
 from vitalmart.operators.joins import fk_violations, natural_join
 from vitalmart.operators.keys import name_ids, with_position
 from vitalmart.operators.reshape import (dedupe_headers, header_from_first_row, melt, stack,
                                          strip_suffix)
 from vitalmart.plans import staging as st
 from vitalmart.plans.star import mart
+from vitalmart.schemas import KEYS
+from vitalmart.sources.csv_blocks import cells, numbered_lines
 from vitalmart.sources.tables import read_grid, table
 from vitalmart.sources.writers import write_csv
 
@@ -178,8 +181,8 @@ def band_texts(spark, sf_dir) -> DataFrame:
     return st.band_texts(years)
 
 
-# The band history as the sheet has it: a headerless grid whose first column
-# is a row number, then the label column, then one column per year.
+# The band history as the sheet has it: a headerless grid of the label column
+# and one column per year, whose rows are known by their place alone.
 def write_income_sheet(spark, sf_dir) -> str:
     m = mart(spark, sf_dir)
     path = m.path("landing_income_sheet")
@@ -192,16 +195,19 @@ def write_income_sheet(spark, sf_dir) -> str:
                         *[F.col(str(y)) for y in years]))
         header = spark.createDataFrame([tuple([0, SHEET_HEADER] + [str(y) for y in years])],
                                        wide.columns)
-        sheet = header.unionByName(wide).coalesce(1)
+        # five rows, in the sheet's order
+        sheet = header.unionByName(wide).coalesce(1).sortWithinPartitions("_row").drop("_row")
         m.publish("landing_income_sheet", lambda p: write_csv(sheet, p, header=False))
     return path
 
 
 # S4 + P12 + P11 + R1 + P2 + F4 + C1..C4 + P3: sheet -> (income, year, bounds)
 def income_bounds(spark, sf_dir) -> DataFrame:
-    grid = read_grid(spark, write_income_sheet(spark, sf_dir))
-    grid = grid.withColumn("pos", F.col("_c0").try_cast("int")).drop("_c0")   # column slice
-    grid = grid.where(F.col("pos").between(0, 4))                              # row slice
+    path = write_income_sheet(spark, sf_dir)
+    width = len(read_grid(spark, path).columns)
+    rows = numbered_lines(spark, path).where(F.col("line").between(0, 4))      # row slice
+    grid = rows.select(F.col("line").alias("pos"),
+                       *[F.get(cells("value"), F.lit(i)).alias(f"_c{i}") for i in range(width)])
     sheet = (header_from_first_row(grid, "pos").drop("pos")
              .withColumnsRenamed({SHEET_HEADER: "income"}))
     years = [c for c in sheet.columns if c != "income"]
@@ -307,21 +313,25 @@ def page_links(spark, sf_dir) -> DataFrame:
 
 # --- reshape of the cause tables ------------------------------------------
 
+def cause_measures(spark, sf_dir) -> DataFrame:
+    """The three measures per (cause, country, year)."""
+    rv = _reason_values(spark, sf_dir)
+    per = mart(spark, sf_dir).table("cells")
+    other = per.join(st.nations(spark, sf_dir).select("n_nationkey", "n_name"),
+                     per["nationkey"] == F.col("n_nationkey")).select(
+        st.cause_side_name(F.col("nationkey"), F.col("n_name")).alias("name"),
+        F.col("year").cast("int").alias("year"), F.col("priority").alias("reason_name"),
+        F.col("n_orders"), F.col("n_lines"))
+    return rv.join(other, ["name", "year", "reason_name"])
+
+
 def cause_files(spark, sf_dir) -> DataFrame:
     """Wide cause tables, one row per (cause, country), three blocks per year.
 
     Block ``Y.2`` holds the used value; ``Y`` and ``Y.1`` hold other measures.
     The header names repeat per year and are de-duplicated pandas-style.
     """
-    m = mart(spark, sf_dir)
-    rv = _reason_values(spark, sf_dir)
-    cells = m.table("cells")
-    other = cells.join(st.nations(spark, sf_dir).select("n_nationkey", "n_name"),
-                       cells["nationkey"] == F.col("n_nationkey")).select(
-        st.cause_side_name(F.col("nationkey"), F.col("n_name")).alias("name"),
-        F.col("year").cast("int").alias("year"), F.col("priority").alias("reason_name"),
-        F.col("n_orders"), F.col("n_lines"))
-    long = rv.join(other, ["name", "year", "reason_name"])
+    long = cause_measures(spark, sf_dir)
     # the year list is bounded (one header per year); it fixes the pivot columns
     years = sorted(r[0] for r in long.select("year").distinct().collect())
     wide = (long.groupBy("reason_name", "name").pivot("year", years)
@@ -383,8 +393,7 @@ def write_cause_files(spark, sf_dir) -> str:
 
 
 def cause_file_union(spark, sf_dir) -> DataFrame:
-    files = landed_cause_files(spark, sf_dir).withColumn(
-        "file_path", F.col("_metadata.file_path"))
+    files = landed_cause_files(spark, sf_dir)
     block = _block(files)
     long = melt(files.select("reason_name", "name", *[F.col(f"`{c}`") for c in block]),
                 ["reason_name", "name"], [F.col(f"`{c}`") for c in block], "year_label",
@@ -451,6 +460,14 @@ def quality_checks(spark, sf_dir) -> DataFrame:
         for name, df in checks])
 
 
+# Violations of each declared key and NOT NULL column (0 expected)
+def key_check(spark, sf_dir) -> DataFrame:
+    m = mart(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [
+        key_violations(m.table(name), *keys).select(F.lit(name).alias("table_name"), "constraint_name", "n_violations")
+        for name, keys in KEYS.items()])
+
+
 # Violations per foreign key (0 expected)
 def fk_check(spark, sf_dir) -> DataFrame:
     m = mart(spark, sf_dir)

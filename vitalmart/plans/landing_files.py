@@ -23,25 +23,27 @@ star, the views and every worksheet run on it unchanged:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from vitalmart.functions.stats import METRIC
 from vitalmart.functions.text import income_code, map_names
 from vitalmart.operators.keys import name_ids, with_position
 from vitalmart.plans import staging as st
 from vitalmart.plans import star as sr
-from vitalmart.sources.tables import file_stem, read_csv, read_grid
+from vitalmart.sources.csv_blocks import cells, read_quoted_csv, records
+from vitalmart.sources.tables import read_csv
 
 CAUSE_SUB_HEADER_ROWS = 3      # rows after the header row that are not data
 AGE_BLOCK = 2                  # the ages 0-4 block of each year (Y, Y.1, Y.2)
 YEAR_LABEL = r"^(\d{4})(?:\.(\d+))?$"
 
 
-def wdi(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One WDI file; the leading unnamed column is the writer's row number."""
-    df = read_csv(spark, f"{root.rstrip('/')}/WDI/{name}.csv", multi_line=True)
+def wdi(spark: SparkSession, root: str, name: str, large: bool = False) -> DataFrame:
+    """One WDI file; the leading unnamed column is the writer's row number. A
+    ``large`` one (the series) is read by byte blocks, a list as one piece."""
+    path = f"{root.rstrip('/')}/WDI/{name}.csv"
+    df = read_quoted_csv(spark, path) if large else read_csv(spark, path, multi_line=True)
     return df.withColumnRenamed("_c0", "_row").withColumn("_row", F.col("_row").cast("long"))
 
 
@@ -64,8 +66,8 @@ def staging_from_landing(spark: SparkSession, root: str) -> dict[str, DataFrame]
         F.col("sourceNote").alias("source_note"))
 
     # under-5 rows are inserted first, then GNI rows: ids follow that order (T4)
-    u5 = wdi(spark, root, "Under5_per_country")
-    gni = wdi(spark, root, "Gni_per_country")
+    u5 = wdi(spark, root, "Under5_per_country", large=True)
+    gni = wdi(spark, root, "Gni_per_country", large=True)
 
     def series(df: DataFrame, src: int, name) -> DataFrame:
         return df.select(F.lit(src).alias("_src"), "_row", name.alias("name"),
@@ -135,20 +137,20 @@ def _cause_layout(rows: DataFrame) -> DataFrame:
 
 
 def _cause_values(spark: SparkSession, root: str) -> DataFrame:
+    """All cause files of a landing root; the file is named by its cause."""
+    name = F.regexp_extract("file", r"([^/]+)\.csv$", 1)
+    return cause_values(spark, f"{root.rstrip('/')}/WHO/*.csv", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
+
+
+def cause_values(spark: SparkSession, path: str, reason: Column) -> DataFrame:
     """All cause files in one scan -> (reason_name, name, year, value_per_reason).
 
     Every file is read by its own header: the years may differ and come in any
     order, and a leading row-number column may be there or not. A value in a
-    column without a year is an error.
+    column without a year is an error. Files are read by byte blocks and may
+    be of any width. ``reason``: the cause's name out of the column ``file``.
     """
-    path = f"{root.rstrip('/')}/WHO/*.csv"
-    # the widest line bounds the scan's columns (quoted commas only add to it)
-    width = spark.read.text(path).agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
-    names = [f"_c{i}" for i in range(width)]
-    # a multi-line scan reads a file as one piece, so row ids follow its lines
-    rows = read_grid(spark, path, StructType([StructField(n, StringType()) for n in names])).select(
-        file_stem(F.col("_metadata.file_name")).alias("reason_name"),
-        F.array(*names).alias("_cells"), F.monotonically_increasing_id().alias("_mid"))
+    rows = records(spark, path).select(reason.alias("reason_name"), cells("text").alias("_cells"), F.col("record").alias("_mid"))
     body = (rows.join(_cause_layout(rows), "reason_name")
             .where(F.col("_mid") - F.col("_start") > CAUSE_SUB_HEADER_ROWS))   # P12
     cell = lambda c: F.get("_cells", c["pos"])

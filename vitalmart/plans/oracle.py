@@ -242,6 +242,20 @@ def _fk_sql() -> str:
         for name, c, ck, p, pk in fks)
 
 
+def _key_sql() -> str:
+    parts = []
+    for name, source, key, not_null in [
+            ("dim_date", "dim_date", "date_year", ["date_year", "date_tens"]),
+            ("dim_country", "dim_country", "country_key", ["country_key", "country_id"]),
+            ("dim_reason", "dim_reason", "reason_key", ["reason_key", "reason_id"]),
+            ("fact_metrics", "fact_metrics", "metric_id", ["metric_id"]),
+            ("fact_metric_death_reasons", "fact_reasons", "death_metric_id", ["death_metric_id"])]:
+        parts.append(f"SELECT '{name}' AS table_name, 'PRIMARY KEY ({key})' AS constraint_name, COUNT(*) AS n_violations "
+                     f"FROM (SELECT {key} FROM {source} WHERE {key} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)")
+        parts += [f"SELECT '{name}', '{c} NOT NULL', COUNT(*) FROM {source} WHERE {c} IS NULL" for c in not_null]
+    return " UNION ALL ".join(parts)
+
+
 def _cause_long() -> str:
     # a pivot by year followed by a melt yields one row per (cause, country)
     # present and per year present; cells absent from the wide table are NULL
@@ -398,6 +412,7 @@ GROUP BY dc.region_name"""),
     "q_fact_metrics": with_prelude("SELECT * FROM fact_metrics"),
     "q_fact_reasons": with_prelude("SELECT * FROM fact_reasons"),
     "q_fk_violations": with_prelude(_fk_sql()),
+    "q_key_violations": with_prelude(_key_sql()),
     "q_quality_checks": with_prelude("""
 SELECT 'dim_date.date_tens is null' AS check_name, COUNT(*) AS n_rows FROM dim_date WHERE date_tens IS NULL
 UNION ALL
@@ -455,6 +470,14 @@ SELECT reason_key, reason_id, reason_desc, date_year FROM dim_reason"""),
 SELECT indicator_per_country_id, value, year, indicator_id, country_id FROM ipc"""),
     "q_declared_fact": with_prelude("""
 SELECT metric_id, indicator_name, indicator_metric, date_year, country_key FROM fact_metrics"""),
+    "q_quoted_documents": "SELECT doc_id, source, text FROM documents",
+    "q_unlike_cause_files": with_prelude(f"""
+, seen AS (SELECT DISTINCT reason_name, year, min(year) OVER (PARTITION BY reason_name) AS first_year FROM rv)
+SELECT p.reason_name, {map_names('p.name')} AS name, CAST(s.year AS INTEGER) AS year,
+       CAST(rv.value_per_reason AS DECIMAL(10,2)) AS value_per_reason
+FROM (SELECT DISTINCT reason_name, name FROM rv) p JOIN seen s USING (reason_name) JOIN death_reason d USING (reason_name)
+LEFT JOIN rv ON rv.reason_name = p.reason_name AND rv.name = p.name AND rv.year = s.year
+WHERE (d.death_reason_id - 1) % 5 <> 2 OR s.year <> s.first_year"""),
     "q_retyped_year_join": with_prelude("""
 SELECT f.metric_id, f.date_year, make_date(f.date_year, 1, 1) AS year_date, d.date_string, d.date_tens
 FROM fact_metrics f JOIN dim_date d USING (date_year)"""),

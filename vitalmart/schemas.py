@@ -46,6 +46,15 @@ STAR = {
     "fact_metric_death_reasons": FACT_REASONS,
 }
 
+# Primary key and NOT NULL columns of each star table (the key's among them).
+KEYS = {
+    "dim_date": (["date_year"], ["date_year", "date_tens"]),
+    "dim_country": (["country_key"], ["country_key", "country_id"]),
+    "dim_reason": (["reason_key"], ["reason_key", "reason_id"]),
+    "fact_metrics": (["metric_id"], ["metric_id"]),
+    "fact_metric_death_reasons": (["death_metric_id"], ["death_metric_id"]),
+}
+
 # Exported dimension files (';'-separated) read with a fixed schema
 DIM_DATE_EXPORT = StructType([
     StructField("date_year", IntegerType()),
