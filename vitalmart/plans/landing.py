@@ -267,44 +267,71 @@ def key_prefix(spark, sf_dir, prefix: str = "src1") -> DataFrame:
                     ).where(F.col("name").isNotNull())
 
 
-# Ul > li > first a > href, over stored pages (0 links -> no row). The
-# tags of a page pass in order through a fold that knows how deep in lists it
-# is and whether the current item still waits for its first link.
+# For every item below a ul, at any depth, the href of the first a below
+# it (0 links -> no row). The tags of a page pass in order through a fold that
+# keeps the stack of open lists and of open items; an a answers all open items
+# that still wait, so an outer item takes the link of an inner one as well.
 NO_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
-LIST_TAG = r"""(?is)</?(?:ul|li|a)(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+ANY_TAG = r"""(?s)</?[A-Za-z][^\s/>]*+(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+TAG_NAME = r"^</?([A-Za-z][^\s/>]*)"
 HREF = r"""(?is)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
+NUMBERED = "(?i)&#(?:x[0-9a-f]{1,6}|[0-9]{1,7});"
+_LINKS_START = ("named_struct('lists', CAST(array() AS ARRAY<STRING>), 'items', 0, "
+                "'open', CAST(array() AS ARRAY<STRUCT<at: INT, item: INT, waits: BOOLEAN>>), "
+                "'links', CAST(array() AS ARRAY<STRUCT<item: INT, href: STRING>>))")
 
 
 def _link_fold(state, tag):
-    name = F.lower(F.regexp_extract(tag, r"^</?([A-Za-z]+)", 1))
+    name = F.lower(F.regexp_extract(tag, TAG_NAME, 1))
     ends = tag.startswith("</")
-    depth, waits, links = state["depth"], state["waits"], state["links"]
-    link = (name == "a") & ~ends
-    return F.struct(
-        F.when((name == "ul") & ends, F.greatest(depth - 1, F.lit(0)))
-        .when(name == "ul", depth + 1).otherwise(depth).alias("depth"),
-        F.when(link | ((name == "li") & ends), F.lit(False))
-        .when((name == "li") & (depth > 0), F.lit(True)).otherwise(waits).alias("waits"),
-        F.when(link & waits & F.regexp_like(tag, F.lit(HREF)),
-               F.concat(links, F.array(F.regexp_extract(tag, HREF, 1))))
-        .otherwise(links).alias("links"))
+    lists, items, open_, links = state["lists"], state["items"], state["open"], state["links"]
+    depth = F.size(lists)
+    is_list = name.isin("ul", "ol")
+    # an end takes all lists off that were opened after its own; an ol counts within a ul only
+    back = F.array_position(F.reverse(lists), name).cast("int")
+    new_lists = (F.when(is_list & ends & (back > 0), F.slice(lists, F.lit(1), depth - back))
+                 .when(is_list & ~ends & ((name == "ul") | (depth > 0)), F.concat(lists, F.array(name))).otherwise(lists))
+    item, link = (name == "li") & (depth > 0), (name == "a") & ~ends
+    shut = F.filter(open_, lambda o: o["at"] < depth)       # the item of this list ends
+    new = F.struct(depth.alias("at"), items.alias("item"), F.lit(True).alias("waits"))
+    new_open = (F.when(is_list & ends, F.filter(open_, lambda o: o["at"] <= F.size(new_lists)))
+                .when(item & ends, shut).when(item, F.concat(shut, F.array(new)))
+                .when(link, F.transform(open_, lambda o: F.struct(o["at"].alias("at"), o["item"].alias("item"),
+                                                                  F.lit(False).alias("waits")))).otherwise(open_))
+    href = F.regexp_extract(tag, HREF, 1)
+    hits = F.transform(F.filter(open_, lambda o: o["waits"]), lambda o: F.struct(o["item"].alias("item"), href.alias("href")))
+    return F.struct(new_lists.alias("lists"), (items + (item & ~ends).cast("int")).alias("items"), new_open.alias("open"),
+                    F.when(link & (href != ""), F.concat(links, hits)).otherwise(links).alias("links"))
+
+
+def _numbered_char(entity) -> Column:
+    """The character of '&#47;' or '&#x2F;'; an ampersand stays written out,
+    as named entities are decoded later; no character: U+FFFD."""
+    hexed = F.regexp_extract(entity, "(?i)x([0-9a-f]+)", 1)
+    code = F.when(hexed != "", hexed).otherwise(F.conv(F.regexp_extract(entity, "([0-9]+)", 1), 10, 16))
+    number = F.conv(code, 16, 10).cast("bigint")
+    sound = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return (F.when(number == 38, F.lit("&amp;"))
+            .when(sound, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd")))
 
 
 def item_links(html) -> Column:
-    """Array of the first link of every list item, in page order; tags and
-    attributes in any case, either quote or none, basic entities decoded."""
-    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("waits"),
-                     F.array().cast("array<string>").alias("links"))
-    tags = F.regexp_extract_all(F.regexp_replace(html, NO_MARKUP, ""), F.lit(LIST_TAG), F.lit(0))
-    hrefs = F.aggregate(tags, start, _link_fold)["links"]
-
-    def text(href):
-        href = F.regexp_replace(href, r"""^["']|["']$""", "")
+    """Array of the first link of every list item that has one, in the order
+    of the items; tags and attributes in any case, either quote or none, basic
+    and numbered entities decoded."""
+    tags = F.regexp_extract_all(F.regexp_replace(html, NO_MARKUP, ""), F.lit(ANY_TAG), F.lit(0))
+    tags = F.filter(tags, lambda t: F.lower(F.regexp_extract(t, TAG_NAME, 1)).isin("ul", "ol", "li", "a"))
+    links = F.array_sort(F.aggregate(tags, F.expr(_LINKS_START), _link_fold)["links"])
+
+    def text(link):
+        href = F.regexp_replace(link["href"], r"""^["']|["']$""", "")
+        found = F.array_distinct(F.regexp_extract_all(href, F.lit(NUMBERED), F.lit(0)))
+        href = F.aggregate(found, href, lambda h, e: F.replace(h, e, _numbered_char(e)))
         for entity, char in ENTITIES.items():
             href = F.replace(href, F.lit(entity), F.lit(char))
         return href
-    return F.transform(hrefs, text)
+    return F.transform(links, text)
 
 
 def page_links(spark, sf_dir) -> DataFrame:

@@ -545,10 +545,27 @@ FROM (SELECT doc_id, source || '/' || CAST(doc_id AS VARCHAR) || '.csv' AS objec
 WHERE substr(object_key, 1, 4) = 'src1' AND substr(object_key, 6) <> ''""",
     # lists cut out of the page, items out of the lists, then each item's first link
     "q_page_links": r"""
-SELECT page_id, regexp_extract(link, '(?is)\shref\s*=\s*"([^"]*)"', 1) AS href
-FROM (SELECT page_id, regexp_extract(item, '(?is)<a\s[^>]*>') AS link
-      FROM (SELECT page_id, unnest(regexp_split_to_array(body, '(?i)<li\b')[2:]) AS item
-            FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<ul\b.*?</ul>')) AS body
-                  FROM pages)))
-WHERE regexp_matches(link, '(?is)\shref\s*=')""",
+WITH found AS (
+  SELECT page_id, regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g'),
+                                     '(?s)</?[A-Za-z][^\s/>]*(?:[^>"'']|"[^"]*"|''[^'']*'')*>') AS tags
+  FROM pages
+), placed AS (
+  SELECT page_id, unnest(tags) AS tag, generate_subscripts(tags, 1) AS pos FROM found
+), named AS (
+  SELECT page_id, pos, tag, lower(regexp_extract(tag, '^</?([A-Za-z][^\s/>]*)', 1)) AS name, starts_with(tag, '</') AS ends FROM placed
+), levels AS (
+  SELECT *, sum(CASE WHEN name NOT IN ('ul', 'ol') THEN 0 WHEN ends THEN -1 ELSE 1 END) OVER (PARTITION BY page_id ORDER BY pos) AS depth
+  FROM named WHERE name IN ('ul', 'ol', 'li', 'a')
+), items AS (
+  SELECT i.page_id, i.pos, min(e.pos) AS until
+  FROM levels i LEFT JOIN levels e ON e.page_id = i.page_id AND e.pos > i.pos
+       AND ((e.name = 'li' AND e.depth = i.depth) OR (e.name IN ('ul', 'ol') AND e.ends AND e.depth < i.depth))
+  WHERE i.name = 'li' AND NOT i.ends AND i.depth > 0 GROUP BY ALL
+), firsts AS (
+  SELECT i.page_id, i.pos, arg_min(a.tag, a.pos) AS tag
+  FROM items i JOIN levels a ON a.page_id = i.page_id AND a.name = 'a' AND NOT a.ends AND a.pos > i.pos AND a.pos < coalesce(i.until, a.pos + 1)
+  GROUP BY ALL
+)
+SELECT page_id, regexp_extract(tag, '(?is)\shref\s*=\s*"([^"]*)"', 1) AS href FROM firsts
+WHERE regexp_matches(tag, '(?is)\shref\s*=')""",
 }

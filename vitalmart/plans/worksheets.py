@@ -124,7 +124,7 @@ def ws_reasons_ci(spark, sf_dir, region: str = CI_REGION, incomes=tuple(INCOMES)
                        F.round(m, 6).alias("pane_mean"),
                        F.round(m - half, 6).alias("band_low"),
                        F.round(m + half, 6).alias("band_high")
-                       ).orderBy(F.col("avg_death_reason_metric").desc())
+                       ).orderBy(F.col("avg_death_reason_metric").desc(), "reason_desc")
 
 
 def ws_reasons_over_time(spark, sf_dir) -> DataFrame:
@@ -157,7 +157,7 @@ def ws_income_trend(spark, sf_dir, incomes=tuple(INCOMES), reason_range=REASON_R
     df = df.where(members("income_name", incomes) & member_range("reason_desc", *reason_range))
     return (df.groupBy("date_year", "income_name")
             .agg(mean("indicator_metric").alias("avg_indicator_metric"))
-            .orderBy("date_year", F.col("avg_indicator_metric").desc()))
+            .orderBy("date_year", F.col("avg_indicator_metric").desc(), "income_name"))
 
 
 def _region_over_time(spark, sf_dir, indicator: str, regions) -> DataFrame:

@@ -32,7 +32,7 @@ def create_empty(spark: SparkSession, schema: StructType, path: str) -> DataFram
 
 
 # S9's counterpart: ';'-separated export with a header, string fields in
-# double quotes (embedded quotes doubled), numbers bare; one file per table
+# double quotes (embedded quotes doubled), numbers bare; a headed file per task
 def write_export(df: DataFrame, path: str) -> None:
     cols = []
     for f in df.schema.fields:
@@ -40,6 +40,6 @@ def write_export(df: DataFrame, path: str) -> None:
         if isinstance(f.dataType, StringType):
             c = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
         cols.append(c.cast("string").alias(f.name))
-    (df.select(*cols).coalesce(1).write.mode("overwrite")
+    (df.select(*cols).write.mode("overwrite")
      .option("header", True).option("sep", ";").option("quote", "")
      .option("nullValue", "").csv(path))
