@@ -70,3 +70,20 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_keys, parent_keys)
                   [child[c] == parent[p] for c, p in zip(child_keys, parent_keys)])
     not_null = reduce(lambda x, y: x & y, [child[c].isNotNull() for c in child_keys])
     return child.where(not_null).join(parent, cond, "left_anti")
+
+
+# (foreign_key, n_violations) of several keys of one child, which is read
+# once: each parent's keys, once each, are joined on with a mark. ``keys``:
+# (name, child columns, parent, parent columns).
+def fk_violation_counts(child: DataFrame, keys) -> DataFrame:
+    needed = list(dict.fromkeys(c for _, cols, _, _ in keys for c in cols))
+    out, told = child.select(*needed), []
+    for i, (name, child_keys, parent, parent_keys) in enumerate(keys):
+        marked = parent.select(*[F.col(p).alias(f"__{i}_{p}") for p in parent_keys]).distinct().withColumn(f"__found_{i}", F.lit(True))
+        cond = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__{i}_{p}") for c, p in zip(child_keys, parent_keys)])
+        out = out.join(marked, cond, "left")
+        not_null = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in child_keys])
+        told.append((name, F.count_if(not_null & F.col(f"__found_{i}").isNull()).alias(f"n_{i}")))
+    counts = out.agg(*[c for _, c in told])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(name).alias("foreign_key"), F.col(f"n_{i}").alias("n_violations"))
+                                            for i, (name, _) in enumerate(told)])))

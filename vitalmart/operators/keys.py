@@ -100,3 +100,53 @@ def first_seen_ids(df: DataFrame, value: str, position: str, name: str = "id") -
 # One id per distinct name in binary (listing) order
 def name_ids(df: DataFrame, value: str, name: str = "id") -> DataFrame:
     return with_position(df.select(value).distinct(), [value], name)
+
+
+# Rows [start, stop) by position along one numeric key (0-based). Ranges
+# of the key are counted before anything is sorted: quantiles cut the rows into
+# RANGES ranges, only those that the slice overlaps are cut again, until what
+# is left is a small multiple of the slice; the key's range reaches the scan
+# as a filter. Per round one row a range comes to the driver.
+RANGES = 200
+
+
+def slice_by_ranges(df: DataFrame, key: str, start: int, stop: int, name: str = "pos",
+                    most: int = 100_000) -> DataFrame:
+    """``df``'s rows of these positions with their position as ``name``; NULL
+    keys come first, and ``key`` must be unique for positions to be certain."""
+    k = F.col(key)
+    low = high = None       # keys of the rows kept: low <= key < high; NULL keys go with low None
+    before, left = 0, None  # rows before them, and their number
+    stop = max(start, stop)
+    while True:
+        part = df if low is None else df.where(k >= F.lit(low))
+        part = part if high is None else part.where((k < F.lit(high)) | (k.isNull() if low is None else F.lit(False)))
+        steps = [i / RANGES for i in range(1, RANGES)]
+        quantiles = part.agg(F.percentile_approx(key, steps, 10_000)).first()[0] or []
+        borders = sorted(set(quantiles) - ({low} if low is not None else set()))
+        if not borders:
+            break
+        at = F.size(F.filter(F.array(*map(F.lit, borders)), lambda b: b <= k))
+        found = part.groupBy(F.when(k.isNull(), 0).otherwise(at).alias("r")).agg(F.count(F.lit(1)).alias("n")).collect()
+        counts = [0] * (len(borders) + 1)
+        for row in found:
+            counts[row["r"]] = row["n"]
+        begins = [before + sum(counts[:r]) for r in range(len(counts) + 1)]
+        kept = [r for r in range(len(counts)) if begins[r] < stop and begins[r + 1] > start]
+        if not kept:
+            part = part.limit(0)
+            break
+        before, rows = begins[kept[0]], begins[kept[-1] + 1] - begins[kept[0]]
+        edges = [low, *borders, high]
+        low, high = edges[kept[0]], edges[kept[-1] + 1]
+        if rows <= max(most, 4 * (stop - start)) or rows == left:  # small enough, or one key's rows
+            part = df if low is None else df.where(k >= F.lit(low))
+            part = part if high is None else part.where((k < F.lit(high)) | (k.isNull() if low is None else F.lit(False)))
+            break
+        left = rows
+    if stop - start > most:
+        placed = with_position(part, [key], name, start=before)
+        return placed.where((F.col(name) >= start) & (F.col(name) < stop))
+    own = part.orderBy(key).offset(max(0, start - before)).limit(stop - start)
+    # at most ``most`` rows: the slice itself
+    return own.withColumn(name, F.row_number().over(Window.orderBy(key)).cast("bigint") + F.lit(max(before, start) - 1))

@@ -16,8 +16,8 @@ from vitalmart.functions.stats import MONEY, mean
 from vitalmart.functions.text import (clean_name, contains_keyword, income_code, key_to_name,
                                       map_names, nan_to_null, year_from_label)
 from vitalmart.operators.constraints import key_violations
-from vitalmart.operators.joins import fk_violations, natural_join
-from vitalmart.operators.keys import name_ids, with_position
+from vitalmart.operators.joins import fk_violation_counts, natural_join
+from vitalmart.operators.keys import name_ids, slice_by_ranges, with_position
 from vitalmart.operators.reshape import (dedupe_headers, header_from_first_row, melt, stack,
                                          strip_suffix)
 from vitalmart.plans import staging as st
@@ -153,14 +153,13 @@ def shape(spark, sf_dir) -> DataFrame:
 
 # Rows [start, stop) by position along the unique key (0-based, like iloc)
 def position_slice(df: DataFrame, order, start: int, stop: int) -> DataFrame:
-    return (with_position(df, order, "pos", start=0)
-            .where((F.col("pos") >= start) & (F.col("pos") < stop)))
+    (key,) = order
+    return slice_by_ranges(df, key, start, stop)
 
 
 def row_slice(spark, sf_dir, start: int = 4, stop: int = 9) -> DataFrame:
     p = _t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    return mart(spark, sf_dir).stored(
-        f"part_slice_{start}_{stop}", lambda: position_slice(p, ["p_partkey"], start, stop))
+    return position_slice(p, ["p_partkey"], start, stop)
 
 
 # both measures present after an outer join
@@ -495,12 +494,10 @@ def key_check(spark, sf_dir) -> DataFrame:
         for name, keys in KEYS.items()])
 
 
-# Violations per foreign key (0 expected)
+# Violations per foreign key (0 expected), all keys of a child in one pass
 def fk_check(spark, sf_dir) -> DataFrame:
     m = mart(spark, sf_dir)
-    parts = []
+    children: dict[str, list] = {}
     for fk, child, ck, parent, pk in FOREIGN_KEYS:
-        v = fk_violations(m.table(child), m.table(parent), ck, pk)
-        parts.append(v.agg(F.count(F.lit(1)).alias("n_violations")).select(
-            F.lit(fk).alias("foreign_key"), "n_violations"))
-    return reduce(DataFrame.unionByName, parts)
+        children.setdefault(child, []).append((fk, ck, m.table(parent), pk))
+    return reduce(DataFrame.unionByName, [fk_violation_counts(m.table(c), keys) for c, keys in children.items()])
