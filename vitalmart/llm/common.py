@@ -65,9 +65,9 @@ def removed(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def compact(df: DataFrame, path: str) -> DataFrame:
-    """Write as zstd parquet under ``path`` and read back."""
-    df.write.option("compression", "zstd").parquet(path)
+def compact(df: DataFrame, path: str, codec: str = "zstd") -> DataFrame:
+    """Write as compressed parquet under ``path`` and read back."""
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -33,19 +33,10 @@ _ROOTS = 0x9E3779B97F4A7C15, 0x2545F4914F6CDD1D
 _HELD = 100_000
 
 
-def _counted(spoilt: int):
-    def words(doc_id, text: str) -> Iterator[tuple[str, int]]:
-        own = zlib.crc32(("" if doc_id is None else str(doc_id)).encode() + b":")
-        for run, n in Counter(_RUN.findall(text)).items():  # spellings of one word are judged alike
-            run = run.lower() if run.isascii() else run.translate(_LOWER)
-            h = zlib.crc32(run.encode(), own)
-            if spoilt and h % spoilt == 0:
-                at = h % len(run)
-                run = run[:at] + run[at + 1:]
-            yield run, n
-
+def _counted(spoilt: int, least_points: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[str] = Counter()
+        held: dict[str, int] = {}
+        crc32, get = zlib.crc32, held.get
 
         def out():
             done = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())],
@@ -55,9 +46,18 @@ def _counted(spoilt: int):
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
-                if (text := text.as_py()) is not None:
-                    for word, n in words(doc_id.as_py(), text):
-                        held[word] += n
+                doc_id, text = doc_id.as_py(), text.as_py()
+                if text is None:
+                    continue
+                own = crc32(f"{'' if doc_id is None else doc_id}:".encode())
+                for run, n in Counter(_RUN.findall(text)).items():  # spellings of one word are judged alike
+                    if len(run) < least_points:  # no letter left out makes it longer
+                        continue
+                    run = run.lower() if run.isascii() else run.translate(_LOWER)
+                    if spoilt and (h := crc32(run.encode(), own)) % spoilt == 0:
+                        at = h % len(run)
+                        run = run[:at] + run[at + 1:]
+                    held[run] = get(run, 0) + n
                 if len(held) > _HELD:
                     yield out()
         yield out()
@@ -71,7 +71,7 @@ def counted_words(docs: DataFrame, least_points: int = 5, least_n: int = 3, spoi
     pairs of document and run a letter is left out, chosen by their checksum
     (0: nowhere). Null texts have no words; a null doc_id counts as empty."""
     ship(docs.sparkSession)
-    return (docs.select("doc_id", "text").mapInArrow(_counted(spoilt), "word string, n bigint")
+    return (docs.select("doc_id", "text").mapInArrow(_counted(spoilt, least_points), "word string, n bigint")
             .where(F.length("word") >= least_points).groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_n))
 
 
@@ -113,7 +113,7 @@ def _trie(words: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     there) of both tries, and each word's own path (way, w, pos, node, upto,
     child: the path's next node, null at its end)."""
     named = compact(words.select(F.monotonically_increasing_id().alias("id"), "word"), f"{path}/words")
-    prefixes = compact(named.mapInArrow(_prefixes, "id bigint, way int, depth int, node bigint, next int"), f"{path}/prefixes")
+    prefixes = compact(named.mapInArrow(_prefixes, "id bigint, way int, depth int, node bigint, next int"), f"{path}/prefixes", "snappy")
     # branching prefixes, whole words, and the two roots
     nodes = compact(prefixes.groupBy("node").agg(F.min("next").alias("a"), F.max("next").alias("z"), F.min("depth").alias("d"))
                     .where("a < 0 OR a <> z OR d = 0").select("node"), f"{path}/nodes")
@@ -123,7 +123,7 @@ def _trie(words: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     steps = compact(on.join(named, "id").select("way", F.when(F.col("way") == 1, F.reverse("word")).otherwise(F.col("word")).alias("w"),
                                                 "on", F.posexplode("on").alias("i", "here"))
                     .select("way", "w", F.col("here.depth").alias("pos"), F.col("here.node").alias("node"),
-                            there["depth"].alias("upto"), there["node"].alias("child")), f"{path}/steps")
+                            there["depth"].alias("upto"), there["node"].alias("child")), f"{path}/steps", "snappy")
     label = F.substring(F.col("w"), F.col("pos") + 1, F.col("upto") - F.col("pos"))
     edges = compact(steps.where("upto IS NOT NULL")
                     .select("node", label.alias("label"), "child", F.when(F.col("upto") == F.length("w"), F.col("w")).alias("ends"))
@@ -155,7 +155,7 @@ def _walked(edges: DataFrame, steps: DataFrame, path: str) -> DataFrame:
                 .withColumn("ends", F.when(F.col("pos") == size, F.col("ends"))))
 
     def level(frontier: DataFrame, k: int) -> tuple[DataFrame, bool]:
-        done = compact(frontier, f"{path}/level{k}")
+        done = compact(frontier, f"{path}/level{k}", "snappy")
         going = done.where(F.col("pos") < F.length("w")).limit(1).count() > 0
         return done, going
 
