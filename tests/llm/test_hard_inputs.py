@@ -111,6 +111,32 @@ def test_finite_vectors_of_any_size(spark):
     assert {q: sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q) for q in (0, 50)} == top
 
 
+def test_top_k_reads_few_exact_vectors(spark):
+    """Cells alone leave a small part of the vectors, over all blocks, and
+    among them every one of the k best; hot copies of a vector are all kept."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(0, 0.2, (6000, 32))
+    x[1000:3000] = x[999]  # a third of all rows alike
+    made = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(made, "vec_id bigint, embedding array<double>").repartition(4)
+    got = exact_topk.nearest(frame, F.col("vec_id") % 50 == 0, block=700).collect()
+    whole = np.floor(256 * x).astype(np.int64)
+    want = []
+    for q in range(0, 6000, 50):
+        score = whole @ whole[q]
+        order = [i for i in np.lexsort((np.arange(6000), -score)) if i != q][:5]
+        want += [(q, r + 1, int(i), int(score[i])) for r, i in enumerate(order)]
+    assert sorted(map(tuple, got)) == want
+    with common.scratch(spark) as path:
+        blocks = exact_topk.indexed(frame.where("vec_id < 1000 or vec_id >= 3000"), path, 700)
+        own = exact_topk._usable(frame, 256).where("vec_id % 50 = 0 and (vec_id < 1000 or vec_id >= 3000)")
+        asked = common.compact(own.mapInArrow(exact_topk._gather(exact_topk.QUERIES, None), exact_topk._BLOCK)
+                               .drop("codes", "borders"), f"{path}/asked")
+        left = exact_topk.survivors(blocks, asked, path, 5)
+        n = left.count()
+    assert 80 * 5 <= n < 80 * 4000 // 100  # below one in a hundred
+
+
 def test_long_chains_settle(spark):
     edges = [(i, i + 1) for i in range(3000)]
     got = common.components(spark.createDataFrame(edges, "a bigint, b bigint"))
