@@ -128,13 +128,24 @@ def test_top_k_reads_few_exact_vectors(spark):
         want += [(q, r + 1, int(i), int(score[i])) for r, i in enumerate(order)]
     assert sorted(map(tuple, got)) == want
     with common.scratch(spark) as path:
-        blocks = exact_topk.indexed(frame.where("vec_id < 1000 or vec_id >= 3000"), path, 700)
-        own = exact_topk._usable(frame, 256).where("vec_id % 50 = 0 and (vec_id < 1000 or vec_id >= 3000)")
-        asked = common.compact(own.mapInArrow(exact_topk._gather(exact_topk.QUERIES, None), exact_topk._BLOCK)
-                               .drop("codes", "borders"), f"{path}/asked")
-        left = exact_topk.survivors(blocks, asked, path, 5)
-        n = left.count()
-    assert 80 * 5 <= n < 80 * 4000 // 100  # below one in a hundred
+        rows = exact_topk._usable(frame, 256)
+        blocks = exact_topk.indexed(exact_topk.candidates(rows, 5), path, 700)
+        n = exact_topk.survivors(blocks, exact_topk.questions(rows.where("vec_id % 50 = 0"), path), path, 5).count()
+    assert 120 * 5 <= n < 120 * 6000 // 100  # below one in a hundred
+
+
+def test_top_k_of_repeated_rows(spark):
+    """Rows repeated as a whole, more often than k: as queries once, as
+    candidates all; never the query's own id."""
+    made = [(0, [1.0, 0.5])] * 9 + [(i, [1.0, 0.5]) for i in range(40, 61)] + [(7, [0.5, 0.5])] * 8 + [(50, [0.25, 0.0])]
+    got = exact_topk.nearest(spark.createDataFrame(made, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    whole = [(i, [int(256 * c) for c in v]) for i, v in made]
+    want = []
+    for q in (0, 50):
+        own = min(v for i, v in whole if i == q)
+        best = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in whole if i != q)[:5]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert sorted(map(tuple, got)) == want
 
 
 def test_long_chains_settle(spark):

@@ -216,10 +216,27 @@ def survivors(blocks: DataFrame, asked: DataFrame, path: str, k: int, cells: int
             .select("query_id", "number", "place", "upper"))
 
 
-def indexed(vectors: DataFrame, path: str, block: int = BLOCK, cells: int = CELLS, scale: int = 256) -> DataFrame:
-    """The vector-approximation file of ``vectors`` below ``path``: a row per
-    block, its cells and its exact vectors in columns of their own."""
-    return compact(_usable(vectors, scale).mapInArrow(_gather(block, cells), _BLOCK), f"{path}/blocks")
+def candidates(rows: DataFrame, k: int) -> DataFrame:
+    """The rows (vec_id, v) that may be among any query's k best: of equal
+    vectors, whose scores are equal, the k + 1 smallest ids (one may be the
+    query's own), each up to k times. Both steps reduce before they shuffle,
+    so copies of one vector are no hot key and no query meets them all."""
+    smallest = Window.partitionBy("v").orderBy("vec_id")
+    return (rows.groupBy("v", "vec_id").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("rank", F.row_number().over(smallest)).where(F.col("rank") <= k + 1)
+            .select("vec_id", "v", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
+            .select("vec_id", "v"))
+
+
+def indexed(rows: DataFrame, path: str, block: int = BLOCK, cells: int = CELLS) -> DataFrame:
+    """The vector-approximation file of ``rows`` (vec_id, v) below ``path``: a
+    row per block, its cells and its exact vectors in columns of their own."""
+    return compact(rows.mapInArrow(_gather(block, cells), _BLOCK), f"{path}/blocks")
+
+
+def questions(rows: DataFrame, path: str) -> DataFrame:
+    """Blocks of queries, exact vectors only."""
+    return compact(rows.mapInArrow(_gather(QUERIES, None), _BLOCK).drop("codes", "borders"), f"{path}/asked")
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, block: int = BLOCK, cells: int = CELLS) -> DataFrame:
@@ -237,9 +254,10 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, block: i
     spark = vectors.sparkSession
     ship(spark)
     with scratch(spark) as path:
-        blocks = indexed(vectors, path, block, cells, scale)
-        own = _usable(vectors, scale).where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
-        asked = compact(own.mapInArrow(_gather(QUERIES, None), _BLOCK).drop("codes", "borders"), f"{path}/asked")
+        rows = _usable(vectors, scale)
+        blocks = indexed(candidates(rows, k), path, block, cells)
+        own = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+        asked = questions(own, path)
         left = compact(survivors(blocks, asked, path, k, cells), f"{path}/left")
         # a block's vectors are read once, for all queries that need any of them
         needed = left.groupBy("number").agg(F.sort_array(F.collect_set("place")).alias("places"))
