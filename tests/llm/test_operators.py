@@ -119,9 +119,9 @@ def plain_suffixes(texts, length):
         yield len(t), int(gone.sum()), runs, sha256(data[~gone].tobytes()).hexdigest()
 
 
-@pytest.mark.parametrize("most", [20_000, 1])
-def test_suffixes(docs, none, most):
-    got = suffix_dedup.without_repeats(docs, most=most)
+@pytest.mark.parametrize("most, per_target", [(20_000, 100_000), (1, 100_000), (20_000, 5)])
+def test_suffixes(docs, none, most, per_target):
+    got = suffix_dedup.without_repeats(docs, most=most, per_target=per_target)
     want = list(plain_suffixes([(r[1] or "").encode() for r in rows()], 200))
     key = lambda r: tuple(-1 if v is None else v for v in r)
     assert sorted(map(key, ((r[0], *w) for r, w in zip(rows(), want)))) == sorted(

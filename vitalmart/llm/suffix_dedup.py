@@ -49,6 +49,8 @@ GRAM = 24
 MOST = 20_000
 #: Strings of a run.
 RUN = 20_000
+#: Strings that one task merges at a time, about; it holds them all.
+PER_TARGET = 100_000
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -463,7 +465,8 @@ def _finished(batches):
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "starts", "ends"])
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST,
+                    per_target: int = PER_TARGET) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans,
     kept_sha256, starts, ends (of the removed runs, in UTF-8 bytes).
 
@@ -480,7 +483,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, mos
                        F.xxhash64("text", own.isNull()).alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
     long = rows.where(F.octet_length("text") >= length).drop("given")
     key = ["doc_id", "text_hash"]
-    targets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    least = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     spans: list[DataFrame] = []
     with scratch(spark) as path:
         # all side bytes of a half in one block at first, then narrower ones
@@ -499,6 +502,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, mos
                 "r.*", "part", (F.col("n") == 1).cast("int").alias("single"), "k"), f"{path}/going{width}")
             per_doc = [F.collect_list(c).alias(c) for c in ("a", "shape", "part", "single")]
             few = going.where(F.col("k") <= most).groupBy(*key).agg(*per_doc)
+            # as many targets as keep the strings of one within a task, however large the corpus
+            targets = max(least, -(-going.where(F.col("k") <= most).count() // per_target))
             # a half's document may be there in several rows: any of them will do
             runs = (few.join(long, key).dropDuplicates(key)
                     .select(*key, "text", "a", "shape", "part", "single")
