@@ -78,10 +78,10 @@ def staging_from_landing(spark: SparkSession, root: str) -> dict[str, DataFrame]
     numbered = with_position(
         series(u5, 0, F.col("name")).unionByName(series(gni, 1, F.lit(None).cast("string"))),
         ["_src", "_row"], "indicator_per_country_id")
-    ipc = numbered.select(F.col("indicator_per_country_id").cast("int"), "value", "year",
+    ipc = numbered.select(F.col("indicator_per_country_id").cast("bigint"), "value", "year",
                           "indicator_id", "country_id")
     u5_keys = numbered.where(F.col("_src") == 0).select(
-        F.col("indicator_per_country_id").cast("int"), "name", "year")
+        F.col("indicator_per_country_id").cast("bigint"), "name", "year")
 
     causes = _cause_values(spark, root)
     death_reason = name_ids(causes.select("reason_name"), "reason_name", "death_reason_id").select(

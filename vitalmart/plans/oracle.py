@@ -111,7 +111,7 @@ series AS (
   FROM ny
   UNION ALL
   SELECT CAST(nationkey + 1 AS INTEGER), year, 2, {cents_mean('sum_price', 'n_orders')} FROM ny),
-ipc AS (SELECT CAST(row_number() OVER (ORDER BY indicator_id, country_id, year) AS INTEGER)
+ipc AS (SELECT CAST(row_number() OVER (ORDER BY indicator_id, country_id, year) AS BIGINT)
                  AS indicator_per_country_id, value, CAST(year AS INTEGER) AS year,
                CAST(indicator_id AS INTEGER) AS indicator_id, country_id
         FROM series WHERE value IS NOT NULL),
@@ -153,7 +153,7 @@ income_of AS (
   GROUP BY igc.country_id, igy.year, income_group.income_group_id),
 dim_country AS (
   SELECT CAST(row_number() OVER (ORDER BY id NULLS FIRST, date_year NULLS FIRST,
-                                 income_name NULLS FIRST) AS INTEGER) AS country_key,
+                                 income_name NULLS FIRST) AS BIGINT) AS country_key,
          CAST(id AS VARCHAR) AS country_id, country_name,
          (SELECT r.region_name FROM stg_region r WHERE r.region_id = s.region_id) AS region_name,
          date_year, income_name
@@ -165,7 +165,7 @@ dim_country AS (
         SELECT k.country_id, k.country_name, k.region_id, NULL, {q(NO_INCOME)}
         FROM stg_country k WHERE k.country_name NOT IN (SELECT name FROM u5)) s),
 dim_reason AS (
-  SELECT CAST(row_number() OVER (ORDER BY death_reason_id, date_year DESC) AS INTEGER) AS reason_key,
+  SELECT CAST(row_number() OVER (ORDER BY death_reason_id, date_year DESC) AS BIGINT) AS reason_key,
          CAST(death_reason_id AS VARCHAR) AS reason_id, reason_name AS reason_desc, date_year
   FROM death_reason CROSS JOIN (SELECT DISTINCT year AS date_year FROM u5)
   WHERE (death_reason_id, date_year) IN
@@ -173,7 +173,7 @@ dim_reason AS (
 -- one metric per staged value (and snapshot of its country in that year);
 -- a cause value's metrics are those of the staged value it hangs on
 metric_rows AS (
-  SELECT CAST(row_number() OVER (ORDER BY p.indicator_per_country_id, s.country_key NULLS FIRST) AS INTEGER)
+  SELECT CAST(row_number() OVER (ORDER BY p.indicator_per_country_id, s.country_key NULLS FIRST) AS BIGINT)
            AS metric_id, p.*, s.country_key
   FROM ipc p LEFT JOIN dim_country s ON s.date_year = p.year AND TRY_CAST(s.country_id AS INTEGER) = p.country_id),
 fact_metrics AS (
@@ -181,7 +181,7 @@ fact_metrics AS (
            AS indicator_name, value AS indicator_metric, year AS date_year, country_key
   FROM metric_rows m),
 fact_reasons AS (
-  SELECT CAST(row_number() OVER (ORDER BY metric_id, reason_key, death_reason_metric NULLS FIRST) AS INTEGER)
+  SELECT CAST(row_number() OVER (ORDER BY metric_id, reason_key, death_reason_metric NULLS FIRST) AS BIGINT)
            AS death_metric_id, *
   FROM (SELECT m.metric_id, s.reason_key, x.value_per_reason AS death_reason_metric, m.year AS date_year
         FROM ipcr x JOIN metric_rows m USING (indicator_per_country_id)

@@ -146,7 +146,7 @@ def stg_indicator_per_country(cells_df: DataFrame, nat: DataFrame, country: Data
         country.select("country_id", F.col("country_name").alias("name")),
         "name", "inner")
     s = with_position(s, ["indicator_id", "country_id", "year"], "indicator_per_country_id")
-    return s.select(F.col("indicator_per_country_id").cast("int"), "value",
+    return s.select(F.col("indicator_per_country_id").cast("bigint"), "value",
                     F.col("year").cast("int"), F.col("indicator_id").cast("int"), "country_id")
 
 

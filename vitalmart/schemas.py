@@ -1,4 +1,5 @@
-"""Declared schemas of the star (S15). Types follow the mart DDL."""
+"""Declared schemas of the star (S15). Types follow the mart DDL, but for the
+generated keys, which are 64 bits wide: facts may pass 2^31 rows."""
 
 from pyspark.sql.types import (DecimalType, IntegerType, LongType, StringType, StructField,
                                StructType)
@@ -11,7 +12,7 @@ DIM_DATE = StructType([
     StructField("date_tens", StringType(), True),
 ])
 DIM_COUNTRY = StructType([
-    StructField("country_key", IntegerType(), False),
+    StructField("country_key", LongType(), False),
     StructField("country_id", StringType(), True),
     StructField("country_name", StringType(), True),
     StructField("region_name", StringType(), True),
@@ -19,22 +20,22 @@ DIM_COUNTRY = StructType([
     StructField("income_name", StringType(), True),
 ])
 DIM_REASON = StructType([
-    StructField("reason_key", IntegerType(), False),
+    StructField("reason_key", LongType(), False),
     StructField("reason_id", StringType(), True),
     StructField("reason_desc", StringType(), True),
     StructField("date_year", IntegerType(), True),
 ])
 FACT_METRICS = StructType([
-    StructField("metric_id", IntegerType(), False),
+    StructField("metric_id", LongType(), False),
     StructField("indicator_name", StringType(), True),
     StructField("indicator_metric", METRIC, True),
     StructField("date_year", IntegerType(), True),
-    StructField("country_key", IntegerType(), True),
+    StructField("country_key", LongType(), True),
 ])
 FACT_REASONS = StructType([
-    StructField("death_metric_id", IntegerType(), False),
-    StructField("metric_id", IntegerType(), True),
-    StructField("reason_key", IntegerType(), True),
+    StructField("death_metric_id", LongType(), False),
+    StructField("metric_id", LongType(), True),
+    StructField("reason_key", LongType(), True),
     StructField("death_reason_metric", METRIC, True),
     StructField("date_year", IntegerType(), True),
 ])
@@ -62,7 +63,7 @@ DIM_DATE_EXPORT = StructType([
     StructField("date_tens", StringType()),
 ])
 DIM_REASON_EXPORT = StructType([
-    StructField("reason_key", IntegerType()),
+    StructField("reason_key", LongType()),
     StructField("reason_id", StringType()),
     StructField("reason_desc", StringType()),
     StructField("date_year", IntegerType()),
