@@ -43,8 +43,9 @@ def ship(spark: SparkSession) -> None:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """``checkpoint()`` into the shared folder: computed once, lineage cut,
-    removed by Spark's cleaner when no longer referenced."""
+    """``checkpoint()`` into the shared folder: computed once, lineage cut. Spark's
+    cleaner removes it when no longer referenced only where the session sets
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``; else it stays."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
