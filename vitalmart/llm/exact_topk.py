@@ -34,15 +34,18 @@ _BLOCK = "number bigint, dim int, most double, ids binary, data binary, codes bi
 
 
 def approximate(x: np.ndarray, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
-    """Cell numbers of the vectors, and the cells + 1 borders of each
-    component: values at even ranks, so that a cell holds as many vectors as
-    any other; the last border is the largest value."""
+    """Cell numbers of the vectors, and the least and the largest value of
+    each cell of a component: (2, cells, components). Cells begin at even
+    ranks, so that one holds as many vectors as any other."""
     ranked = np.sort(x, axis=0)
-    borders = np.concatenate([ranked[np.arange(cells) * len(x) // cells], ranked[-1:]])
+    low = ranked[np.arange(cells) * len(x) // cells]
+    high = np.concatenate([low[1:], ranked[-1:]])
     codes = np.empty(x.shape, np.uint8)
     for d in range(x.shape[1]):
-        codes[:, d] = np.clip(np.searchsorted(borders[:, d], x[:, d], side="right") - 1, 0, cells - 1)
-    return codes, borders
+        last = np.searchsorted(ranked[:, d], low[1:, d], side="left") - 1
+        high[:-1, d] = ranked[np.maximum(last, 0), d]
+        codes[:, d] = np.searchsorted(low[:, d], x[:, d], side="right") - 1
+    return codes, np.stack([low, high])
 
 
 def bounds(q: np.ndarray, codes: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +53,7 @@ def bounds(q: np.ndarray, codes: np.ndarray, borders: np.ndarray) -> tuple[np.nd
     vectors of a block, from their cells alone: (queries, vectors). Exact for
     sums below ``EXACT``."""
     d = np.arange(codes.shape[1])
-    low, high = borders[codes, d].astype(np.float64), borders[codes.astype(np.int64) + 1, d].astype(np.float64)
+    low, high = borders[0][codes, d].astype(np.float64), borders[1][codes, d].astype(np.float64)
     middle, spread = q.astype(np.float64) @ ((low + high) / 2).T, np.abs(q).astype(np.float64) @ ((high - low) / 2).T
     return middle + spread, middle - spread
 
@@ -112,7 +115,7 @@ def _scan(k: int, cells: int):
                     best = np.full((len(qids), k), -np.inf)
                 ids = np.frombuffer(raw, np.int64)
                 codes = np.frombuffer(code, np.uint8).reshape(len(ids), dim)
-                borders = np.frombuffer(border, np.int64).reshape(cells + 1, dim)
+                borders = np.frombuffer(border, np.int64).reshape(2, cells, dim)
                 for a in range(0, len(qids), STEP):
                     some = slice(a, a + STEP)
                     if most * qmost * max(dim, 1) < EXACT:
