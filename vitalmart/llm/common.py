@@ -4,9 +4,11 @@ prefix sums over a sorted table, connected components."""
 from __future__ import annotations
 
 import contextlib
+import functools
 import os
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -42,12 +44,57 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
+_held = threading.local()
+
+
 def saved(df: DataFrame) -> DataFrame:
-    """``checkpoint()`` into the shared folder: computed once, lineage cut. Spark's
-    cleaner removes it when no longer referenced only where the session sets
-    ``spark.cleaner.referenceTracking.cleanCheckpoints``; else it stays."""
+    """``checkpoint()`` into the shared folder: computed once, lineage cut. It stays
+    unless made within ``freed``."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    out = df.checkpoint()
+    if scopes := getattr(_held, "scopes", None):
+        scopes[-1].append(out)
+    return out
+
+
+@contextlib.contextmanager
+def freed(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """What this thread has ``saved`` within is deleted on leaving, so a result
+    must have been written before. Yields the list of it; a table taken off the
+    list stays."""
+    if not hasattr(_held, "scopes"):
+        _held.scopes = []
+    own: list[DataFrame] = []
+    _held.scopes.append(own)
+    try:
+        yield own
+    finally:
+        _held.scopes.pop()
+        for df in own:
+            dropped(df)
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the checkpoint of a ``saved`` table; harmless where it is gone."""
+    file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        removed(df.sparkSession, file.get())
+
+
+def only_result(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A query that leaves no checkpoint but its result's: a result that rests on
+    others is saved itself."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with freed(spark) as own:
+            out = query(spark, sf_dir)
+            if own and not any(out is df for df in own):
+                out = saved(out)
+            own[:] = [df for df in own if df is not out]
+        return out
+
+    return run
 
 
 @contextlib.contextmanager

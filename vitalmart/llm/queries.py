@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vitalmart.llm import (block_whitening, cap_filters, content_sort, exact_topk, language_id, minmax_dedup, mixing,
                            packing, spelling_trie, substring_dedup, suffix_dedup, token_output, url_graph)
-from vitalmart.llm.common import saved, scratch, table
+from vitalmart.llm.common import only_result, saved, scratch, table
 
 
 def tokenizer_path() -> str:
@@ -83,6 +83,7 @@ QUERIES = {
     "op9_embedding_near_dedup": op9, "op10_minmax_near_dedup": op10,
     "op11_block_whitening": op11, "op12_spelling_trie": op12, "op13_content_sort": op13,
 }
+QUERIES = {name: only_result(query) for name, query in QUERIES.items()}
 
 SQL = {
     "op7_exact_topk": """
