@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalmart.llm import language_id, minmax_dedup, mixing, packing, substring_dedup
-from vitalmart.llm.common import removed, table
+from vitalmart.llm.common import freed, removed, table
 from vitalmart.llm.queries import tokenizer_path
 from vitalmart.session import warehouse_path
 
@@ -57,7 +57,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = None
     for name, stage in STAGES:
         path = warehouse_path(spark, "pipeline", f"{uuid.uuid4().hex}-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with freed(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
         if last:
             removed(spark, last)
