@@ -135,6 +135,33 @@ def test_variants(spark):
     assert want["kitten"][0] == "bitten" and want["hubword"][3] > 80
 
 
+def test_states_are_compiled(spark, monkeypatch):
+    """No lambda, which Spark interprets for each row, runs over the states
+    joined with their edges; letters that share a bit (a and á) or lie beyond
+    16 bits are told apart."""
+    plans, compact = {}, spelling_trie.compact
+
+    def noted(df, path, *codec):
+        plans[path.rsplit("/", 1)[1]] = df._jdf.queryExecution().optimizedPlan().toString()
+        return compact(df, path, *codec)
+
+    monkeypatch.setattr(spelling_trie, "compact", noted)
+    words = ["a", "á", "ab", "b", "abcda", "abcdá", "abcdaa", "abcdáx", "abáda", "áabcda", "bcda", "rivers", "ri\U0001f600ers",
+             "ri\U0001f601ers", "ri\u6600ers", "riers", "riverside", "riverride", "rivverside", "iverside", "riversid"]
+    got = spelling_trie.neighbours(spark.createDataFrame([(w,) for w in words], "word string")).collect()
+    assert sorted(map(tuple, got)) == sorted((a, b) for a in words for b in words if one_edit(a, b))
+    levels = [plan for name, plan in plans.items() if name.startswith("level")]
+    assert len(levels) > 1 and not any("lambda" in plan for plan in levels)
+
+
+@pytest.mark.parametrize("case", ["ſtill Kelvin", "wordſword", "naïve\u0301 naïve", "\U0001f600smile?smile"])
+def test_runs_of_latin_letters(spark, case):
+    """Code points beyond Latin-1 end a run and are never made letters."""
+    made = [(i, f"{case} {case.upper()}") for i in range(3)]
+    got = spelling_trie.counted_words(table(spark, made)).collect()
+    assert {(r.word, r.n) for r in got} == {(w, v[2]) for w, v in plain_variants(made).items()}
+
+
 @pytest.mark.parametrize("made", [[], [(1, None), (2, "")], [(1, "short four word word word")]])
 def test_no_variants(spark, made):
     assert spelling_trie.variants(table(spark, made)).count() == 0

@@ -13,20 +13,19 @@ which is confirmed on the words themselves.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalmart.llm.common import compact, saved, scratch, ship
 
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+#: Of each Latin-1 byte: letters with A-Z lowered, a space for all others.
+_LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 0xC0 else 32 for c in range(256))
 #: Nodes of the empty prefix in the trie of the words and of the reversed ones.
 _ROOTS = 0x9E3779B97F4A7C15, 0x2545F4914F6CDD1D
 #: Distinct words that a task counts before it hands them on.
@@ -35,26 +34,25 @@ _HELD = 100_000
 
 def _counted(spoilt: int, least_points: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, int] = {}
+        held: dict[bytes, int] = {}  # in Latin-1, a byte per code point
         crc32, get = zlib.crc32, held.get
 
         def out():
-            done = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())],
-                                              ["word", "n"])
+            done = pa.RecordBatch.from_arrays([pa.array([w.decode("latin-1") for w in held], pa.string()),
+                                               pa.array(list(held.values()), pa.int64())], ["word", "n"])
             held.clear()
             return done
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                doc_id, text = doc_id.as_py(), text.as_py()
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text is None:
                     continue
                 own = crc32(f"{'' if doc_id is None else doc_id}:".encode())
-                for run, n in Counter(_RUN.findall(text)).items():  # spellings of one word are judged alike
+                runs = text.encode("latin-1", "replace").translate(_LETTERS).split()  # "?" is no letter
+                for run, n in Counter(runs).items():
                     if len(run) < least_points:  # no letter left out makes it longer
                         continue
-                    run = run.lower() if run.isascii() else run.translate(_LOWER)
-                    if spoilt and (h := crc32(run.encode(), own)) % spoilt == 0:
+                    if spoilt and (h := crc32(run if run.isascii() else run.decode("latin-1").encode(), own)) % spoilt == 0:
                         at = h % len(run)
                         run = run[:at] + run[at + 1:]
                     held[run] = get(run, 0) + n
@@ -108,10 +106,11 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _trie(words: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """The edges (node, first, label, child, ends: the word that ends at the
-    child, in a list, as node hashes may meet, nexts: the letters that follow
-    there) of both tries, and each word's own path (way, w, pos, node, upto,
-    child: the path's next node, null at its end)."""
+    """The edges (node, first: the label's first code point, label, n: its
+    length, child, ends: the words that end at the child or null, a list, as
+    node hashes may meet, nexts: bits of the letters that follow there) of both
+    tries, and each word's own path (way, w, pos, node, upto, child: the path's
+    next node, null at its end)."""
     named = compact(words.select(F.monotonically_increasing_id().alias("id"), "word"), f"{path}/words")
     prefixes = compact(named.mapInArrow(_prefixes, "id bigint, way int, depth int, node bigint, next int"), f"{path}/prefixes", "snappy")
     # branching prefixes, whole words, and the two roots
@@ -125,51 +124,78 @@ def _trie(words: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
                     .select("way", "w", F.col("here.depth").alias("pos"), F.col("here.node").alias("node"),
                             there["depth"].alias("upto"), there["node"].alias("child")), f"{path}/steps", "snappy")
     label = F.substring(F.col("w"), F.col("pos") + 1, F.col("upto") - F.col("pos"))
-    edges = compact(steps.where("upto IS NOT NULL")
-                    .select("node", label.alias("label"), "child", F.when(F.col("upto") == F.length("w"), F.col("w")).alias("ends"))
-                    .groupBy("node", "label", "child").agg(F.collect_set("ends").alias("ends"))
-                    .withColumn("first", F.substring("label", 1, 1)), f"{path}/single")
-    after = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set("first"), "").alias("nexts"))  # of one alphabet
-    return compact(edges.join(after, "child", "left"), f"{path}/edges"), steps
+    edges = compact(steps.where("upto IS NOT NULL").select("node", label.alias("label"), "child").distinct()
+                    .withColumns({"first": F.ascii("label"), "n": F.length("label")}), f"{path}/single")
+    after = edges.groupBy(F.col("node").alias("child")).agg(F.bit_or(_bit(F.col("first"))).alias("nexts"))
+    whole = steps.where("upto IS NULL").groupBy(F.col("node").alias("child")).agg(F.collect_set("w").alias("ends"))
+    return compact(edges.join(after, "child", "left").join(whole, "child", "left"), f"{path}/edges"), steps
+
+
+def _bit(point: Column) -> Column:
+    """A set of code points is the OR of their bits; other letters may share one."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), point % 64)
+
+
+def _point(at: Column) -> Column:
+    """The word's code point at ``at``; 0 beyond its end."""
+    return F.ascii(F.substring(F.col("w"), at + 1, 1))
+
+
+def _moves_on(pos: Column, point: Column) -> Column:
+    """States that could neither end nor go on aren't kept."""
+    goes_on = F.col("nexts").bitwiseAND(_bit(point)) != 0
+    return (pos <= F.col("size")) & F.when(pos == F.col("size"), F.col("ends").isNotNull()).otherwise(goes_on)
+
+
+def _moved(joined: DataFrame, pos: Column) -> DataFrame:
+    return joined.select("way", "w", pos.alias("pos"), F.col("child").alias("node"), "ends", "size")
+
+
+def _edited(joined: DataFrame) -> DataFrame:
+    """Each state (way, w, size, pos, p0 to p2: the word's next three code
+    points) over its edge with one edit within it, in up to three ways."""
+    def at(more: int):
+        # most labels are one letter
+        single = {0: F.col("p0") != F.col("first"), -1: F.lit(True),
+                  1: (F.col("p0") == F.col("first")) | (F.col("p1") == F.col("first"))}[more]
+        alike = F.when(F.col("n") == 1, single).otherwise(
+            F.levenshtein(F.substring(F.col("w"), F.col("pos") + 1, F.col("n") + more), F.col("label"), 1) == 1)
+        pos = F.col("pos") + F.col("n") + more
+        return F.when(_moves_on(pos, F.when(F.col("n") == 1, F.col(f"p{1 + more}")).otherwise(_point(pos))) & alike, pos)
+
+    # filtered after explode: a lambda over the array would be interpreted, row by row
+    return _moved(joined, F.explode(F.array(*[at(more) for more in (0, -1, 1)]))).where("pos IS NOT NULL")
+
+
+def _matched(joined: DataFrame) -> DataFrame:
+    """Each state (way, w, size, pos) over its edge of the same first letter
+    where the others match, too."""
+    pos = F.col("pos") + F.col("n")
+    alike = (F.col("n") == 1) | (F.substring(F.col("w"), F.col("pos") + 1, F.col("n")) == F.col("label"))
+    return _moved(joined.where(_moves_on(pos, _point(pos)) & alike), pos)
 
 
 def _walked(edges: DataFrame, steps: DataFrame, path: str) -> DataFrame:
     """(way, w, other): words that one edit ends at."""
-    spark, size, n = edges.sparkSession, F.length("w"), F.length("label")
-    piece = lambda more: F.substring(F.col("w"), F.col("pos") + 1, n + more)
-    def moved(joined: DataFrame, edits: int) -> DataFrame:
-        """One step of each state over its edge, in up to three ways."""
-        def at(more: int):
-            pos = F.col("pos") + n + more
-            if edits:  # most labels are one letter
-                single = {0: piece(0) != F.col("label"), -1: F.lit(True), 1: F.contains(piece(1), F.col("label"))}[more]
-                alike = F.when(n == 1, single).otherwise(F.levenshtein(piece(more), F.col("label"), 1) == 1)
-            else:
-                alike = piece(0) == F.col("label")
-            # states that could neither end nor go on aren't kept
-            goes_on = F.when(pos == size, F.size("ends") > 0).otherwise(F.contains("nexts", F.substring(F.col("w"), pos + 1, 1)))
-            return F.when((pos <= size) & goes_on & alike, pos)
-
-        ways = F.filter(F.array(*[at(more) for more in ((0, -1, 1) if edits else (0,))]), lambda p: p.isNotNull())
-        return (joined.select("way", "w", F.explode(ways).alias("pos"), F.col("child").alias("node"), "ends")
-                .withColumn("ends", F.when(F.col("pos") == size, F.col("ends"))))
-
-    def level(frontier: DataFrame, k: int) -> tuple[DataFrame, bool]:
-        done = compact(frontier, f"{path}/level{k}", "snappy")
-        going = done.where(F.col("pos") < F.length("w")).limit(1).count() > 0
+    spark, size = edges.sparkSession, F.length("w")
+
+    def level(states: DataFrame, k: int) -> tuple[DataFrame, bool]:
+        states = states.withColumn("ends", F.when(F.col("pos") == F.col("size"), F.col("ends"))).drop("size")
+        done = compact(states, f"{path}/level{k}", "snappy")
+        going = done.where(F.col("pos") < size).limit(1).count() > 0
         return done, going
 
     # the edit: only an edge that reaches into the second half can hold it, or
     # the last letter's loss at a node before the end
     half = F.when(F.col("way") == 0, F.floor(size / 2)).otherwise(F.ceil(size / 2))
-    none = steps.where(F.col("upto").isNull() | (F.col("upto") >= F.least(half + 1, size - 1))).select("way", "w", "pos", "node")
-    frontier, going = level(moved(none.join(edges, "node"), 1), 0)
+    none = steps.where(F.col("upto").isNull() | (F.col("upto") >= F.least(half + 1, size - 1))).select(
+        "way", "w", "pos", "node", size.alias("size"), *[_point(F.col("pos") + i).alias(f"p{i}") for i in range(3)])
+    frontier, going = level(_edited(none.join(edges, "node")), 0)
     k = 0
     while going:
         k += 1
-        on = frontier.where(F.col("pos") < F.length("w")).drop("ends")
-        joined = on.withColumn("first", F.substring(F.col("w"), F.col("pos") + 1, 1)).join(edges, ["node", "first"])
-        frontier, going = level(moved(joined, 0), k)
+        on = frontier.where(F.col("pos") < size).drop("ends").withColumns({"size": size, "first": _point(F.col("pos"))})
+        frontier, going = level(_matched(on.join(edges, ["node", "first"])), k)
     states = spark.read.parquet(*[f"{path}/level{i}" for i in range(k + 1)])
     return states.where(F.col("pos") == F.length("w")).select("way", "w", F.explode("ends").alias("other"))
 
